@@ -1,0 +1,41 @@
+"""Small retail source tables for tests."""
+
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+from tideline.schemas import SOURCE_TABLES
+
+T0 = datetime(2025, 11, 1)
+LIFE = (T0, T0 + timedelta(days=10), "Y")
+
+ROWS = {
+    "customers": [(i, f"First{i}", f"Last{i}", f"c{i}@example.com", "1", "City", "Prov", "CA", *LIFE) for i in range(1, 6)],
+    "stores": [(i, f"Store {i}", "City", "Prov", "CA", *LIFE) for i in range(1, 4)],
+    "products": [(i, f"Product {i}", "Cat", "Brand", Decimal(i), *LIFE) for i in range(1, 8)],
+    "employees": [(i, i % 3 + 1, "E", f"M{i}", f"e{i}@example.com", "Clerk", Decimal(100), *LIFE) for i in range(1, 10)],
+    "orders": [
+        (i, i % 5 + 1, i % 3 + 1, T0 + timedelta(days=i), "card", "open", Decimal(10 * i), *LIFE) for i in range(1, 21)
+    ],
+    "order_items": [
+        (10 * i + j, i, (i + j) % 7 + 1, j + 1, Decimal("2.50"), Decimal("2.50") * (j + 1), *LIFE)
+        for i in range(1, 21)
+        for j in range(3)
+    ],
+}
+
+FEED_HEADER = "delivery_id,supplier_id,supplier_name,product_id,delivery_date,quantity_received,unit_cost"
+FEED = [
+    "DEL-1,SUP-1,North,1,2025-11-05,10,4.50",
+    "DEL-2,SUP-1,North,2,2025-11-06,20,",
+    "DEL-2,SUP-1,North,2,2025-11-06,20,",
+    "DEL-3,SUP-2,South,7,2025-11-07,5,1.25",
+]
+
+
+def source_tables(spark, rows=ROWS):
+    return {name: spark.createDataFrame(rows[name], schema) for name, schema in SOURCE_TABLES.items()}
+
+
+def write_feed(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join([FEED_HEADER, *lines]) + "\n")

@@ -89,27 +89,28 @@ def count_consistency(tables: Mapping[str, DataFrame], broken: str) -> DataFrame
 
 @dataclass(frozen=True)
 class Measures:
-    """What a quality gate counts on one table: nulls and duplicate keys, as output name to column."""
+    """What a quality gate counts on one table, by output name: nulls of columns, and duplicates of a key."""
 
     table: DataFrame
     nulls: Mapping[str, str]
-    duplicates: Mapping[str, str]
+    duplicates: str
+    key: str
 
 
 def gate_measures(parts: Sequence[Measures]) -> DataFrame:
     """One row with all measures of a quality gate. A null key with several rows counts as one duplicate key.
 
-    Null counts of a table share one scan; each duplicate count is one aggregate by key.
+    Each table is scanned once: null counts ride on the aggregate by key that finds the duplicates.
     """
     rows = []
     for part in parts:
-        nulls = part.table.agg(*[F.count_if(F.col(c).isNull()).alias(n) for n, c in part.nulls.items()])
-        pairs = [F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in part.nulls]
-        rows.append(nulls.select(F.inline(F.array(*pairs))))
-        for name, key in part.duplicates.items():
-            groups = part.table.groupBy(key).count().filter("count > 1")
-            rows.append(groups.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n"))
-    names = [n for part in parts for n in [*part.nulls, *part.duplicates]]
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"_{n}") for n, c in part.nulls.items()]
+        per_key = part.table.groupBy(part.key).agg(F.count("*").alias("_rows"), *nulls)
+        sums = [F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(n) for n in part.nulls]
+        totals = per_key.agg(*sums, F.count_if(F.col("_rows") > 1).alias(part.duplicates))
+        pairs = [F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in totals.columns]
+        rows.append(totals.select(F.inline(F.array(*pairs))))
+    names = [n for part in parts for n in [*part.nulls, part.duplicates]]
     every = reduce(DataFrame.unionByName, rows)
     return every.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 

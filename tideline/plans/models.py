@@ -4,8 +4,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 
-from tideline.operators.incremental import incremental_batch
-from tideline.operators.latest import Keys
+from tideline.operators.incremental import newer_than, stamp
+from tideline.operators.latest import Keys, as_list
 from tideline.sources.store import StoredTable
 
 
@@ -22,6 +22,7 @@ def incremental_model(
     Stored rows never give way to older ones, so a lookback may read rows again. A run on an
     unchanged source merges nothing.
     """
-    since = target.high_water(cursor)
-    batch = incremental_batch(source, since, target.key, cursor, tiebreak, run_ts, lookback)
-    target.upsert(batch, cursor)
+    batch = newer_than(source, cursor, target.high_water(cursor), lookback)
+    if run_ts is not None:
+        batch = batch.withColumn("processed_at", stamp(run_ts))
+    target.upsert(batch, [cursor, *as_list(tiebreak or [])])

@@ -1,5 +1,7 @@
 """The registered queries: every operator on the test tables."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -23,7 +25,7 @@ from tideline.sources.dimension import snapshot
 from tideline.sources.extract import extract_since
 from tideline.sources.feed import clean_feed, read_feed, stream_feed
 from tideline.sources.store import StoredTable
-from tideline.streaming.merge import merge_stream, run_to_end
+from tideline.streaming.merge import Sink, merge_stream, run_to_end
 
 RUN_1 = datetime(2024, 2, 1)
 RUN_2 = datetime(2024, 2, 2)
@@ -90,12 +92,8 @@ def feed_stream(t):
     feed = s.delivery_feed(t)
     for drop in (F.col("delivery_date") < split, F.col("delivery_date") >= split):
         feed.filter(drop).write.mode("append").option("header", True).csv(f"{root}/feed")
-        stream = stream_feed(t.spark, f"{root}/feed")
-        run_to_end(
-            merge_stream(
-                stream, bronze, f"{root}/checkpoint", DELIVERY_ORDER, lambda raw: clean_feed(raw).drop("source_file")
-            )
-        )
+        sink = Sink(bronze, DELIVERY_ORDER, lambda raw: clean_feed(raw).drop("source_file"))
+        run_to_end(merge_stream(stream_feed(t.spark, f"{root}/feed"), [sink], f"{root}/checkpoint"))
     return bronze.read()
 
 
@@ -109,7 +107,8 @@ def stream_dedup(t):
     target = store(t, "events", "event_id")
     for _ in range(2):
         t["events"].write.mode("append").parquet(f"{root}/feed")
-        run_to_end(merge_stream(stream_events(t, f"{root}/feed"), target, f"{root}/checkpoint", "ts", insert_only=True))
+        sink = Sink(target, "ts", insert_only=True)
+        run_to_end(merge_stream(stream_events(t, f"{root}/feed"), [sink], f"{root}/checkpoint"))
     return target.read()
 
 
@@ -120,7 +119,7 @@ def late_rows(t):
     cut = F.lit(s.LATE_CUT).cast("timestamp_ntz")
     for drop in (F.col("ts") >= cut, F.col("ts") < cut):
         t["events"].filter(drop).write.mode("append").parquet(f"{root}/feed")
-        run_to_end(merge_stream(stream_events(t, f"{root}/feed"), bronze, f"{root}/checkpoint", "ts"))
+        run_to_end(merge_stream(stream_events(t, f"{root}/feed"), [Sink(bronze, "ts")], f"{root}/checkpoint"))
         incremental_model(bronze.read(), silver, "ts", lookback=timedelta(days=60))
     return silver.read()
 
@@ -277,8 +276,8 @@ def floors(t):
 
 
 def sold_lines(t: Catalog) -> DataFrame:
-    """Order lines with order time, customer and store: the columns a fact needs of the wide table."""
-    parts = [e for e in s.WIDE if e.alias in ("o", "oi", "c")]
+    """Order lines with their order's time: the wide table without its lookups."""
+    parts = [e for e in s.WIDE if e.alias in ("o", "oi")]
     return build_wide(s.wide_inputs(t), parts, verify=False).filter(F.col("order_item_id").isNotNull())
 
 
@@ -319,14 +318,29 @@ FACT_COLUMNS = [
 ]
 
 
+def stored(t: Catalog, **builders: Callable[[Catalog], DataFrame]) -> list[DataFrame]:
+    """Write tables side by side and read them back: built once, with known sizes, like a pipeline's layers."""
+    root = scratch_dir(t.spark, "tables")
+    with ThreadPoolExecutor(len(builders)) as pool:
+        list(pool.map(lambda item: item[1](t).write.parquet(f"{root}/{item[0]}"), builders.items()))
+    return [t.spark.read.parquet(f"{root}/{name}") for name in builders]
+
+
 def orders_fact_of(t: Catalog) -> DataFrame:
-    links = [
-        VersionLink("order_scd_id", s.order_versions(t), {"order_id": "order_id"}),
-        VersionLink("customer_scd_id", s.customer_versions(t), {"customer_id": "customer_id"}),
-        VersionLink("product_scd_id", s.product_versions(t), {"product_id": "product_id"}),
-        VersionLink("store_scd_id", s.store_versions(t), {"store_id": "store_id"}),
-    ]
-    return orders_fact(sold_lines(t), "order_item_id", "order_timestamp", links, both_calendars(t), FACT_COLUMNS)
+    orders, customers, products, stores = stored(
+        t, orders=s.order_versions, customers=s.customer_versions, products=s.product_versions, stores=s.store_versions
+    )
+    return orders_fact(
+        s.order_headers(t), s.order_lines(t), "order_id", "order_timestamp",
+        [
+            VersionLink("customer_scd_id", customers, {"customer_id": "customer_id"}),
+            VersionLink("store_scd_id", stores, {"store_id": "store_id"}),
+            VersionLink("order_scd_id", orders, {"order_id": "order_id"}),
+        ],
+        [VersionLink("product_scd_id", products, {"product_id": "product_id"})],
+        both_calendars(t),
+        FACT_COLUMNS,
+    )
 
 
 @query("fact_orders")
@@ -385,22 +399,25 @@ def dq_join_nulls(t):
 
 @query("dq_counts")
 def dq_counts(t):
-    tables = {"wide_rows": wide_table(t), "line_rows": s.lines(t), "fact_rows": orders_fact_of(t)}
+    wide, lines, fact = stored(t, wide=wide_table, lines=s.lines, fact=orders_fact_of)
+    tables = {"wide_rows": wide, "line_rows": lines, "fact_rows": fact}
     return quality.count_consistency(tables, "wide_rows <> line_rows OR fact_rows < 1")
 
 
 @query("dq_gate")
 def dq_gate(t):
-    wide = quality.Measures(
-        wide_table(t), {"wide_null_order": "order_id", "wide_null_line": "order_item_id"},
-        {"wide_duplicate_line": "order_item_id"},
-    )
+    wide, fact = stored(t, wide=wide_table, fact=orders_fact_of)
     scds = ["customer_scd_id", "product_scd_id", "store_scd_id", "order_scd_id"]
-    fact = quality.Measures(
-        orders_fact_of(t), {f"fact_null_{c}": c for c in ["order_item_id", *scds]},
-        {"fact_duplicate_line": "order_item_id"},
-    )
-    return quality.quality_gate([wide, fact])
+    parts = [
+        quality.Measures(
+            wide, {"wide_null_order": "order_id", "wide_null_line": "order_item_id"},
+            "wide_duplicate_line", "order_item_id",
+        ),
+        quality.Measures(
+            fact, {f"fact_null_{c}": c for c in ["order_item_id", *scds]}, "fact_duplicate_line", "order_item_id"
+        ),
+    ]
+    return quality.quality_gate(parts)
 
 
 @query("dq_freshness")

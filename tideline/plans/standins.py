@@ -150,6 +150,23 @@ WIDE = [
 ]
 
 
+def order_lines(t: Catalog) -> DataFrame:
+    return lines(t).select(
+        line_id().alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("line_amount"),
+    )
+
+
+def order_headers(t: Catalog) -> DataFrame:
+    """Orders with their customer's store."""
+    joined = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "left")
+    return joined.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("c_nationkey").alias("store_id"), F.col("o_orderdate").alias("order_timestamp"),
+        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
+    )
+
+
 def wide_inputs(t: Catalog) -> dict[str, DataFrame]:
     slim = lines(t).select(
         line_id().alias("line_id"), "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),

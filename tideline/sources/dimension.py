@@ -1,24 +1,25 @@
 """Type-2 dimensions kept in stored tables."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_row
-from tideline.operators.scd import scd2_apply, scd2_first
+from tideline.operators.scd import current, scd2_apply, scd2_first
 from tideline.sources.store import StoredTable
 
 
-def snapshot(
-    table: StoredTable, batch: DataFrame, updated_at: str, batch_id: tuple[str, int] | None = None
-) -> None:
+def snapshot(table: StoredTable, batch: DataFrame, updated_at: str) -> None:
     """Apply one snapshot of the source; the table's key is the natural key of the dimension.
 
-    Only the units of the keys in the batch are read and written.
+    Rows that already are the open version are left out first, by a narrow join. Only the units of
+    the remaining keys are read in full and written, so an unchanged source writes nothing.
     """
     state = table.state()
     if state is None:
         table.overwrite(scd2_first(latest_row(batch, table.key, updated_at), table.key, updated_at))
         return
-    if table._seen(state, batch_id):
-        return
-    units = table._touched(batch)
-    table.rewrite(units, scd2_apply(table.read(units, state), batch, table.key, updated_at), state, batch_id)
+    known = current(table.read(state=state)).select(*table.key, F.col("valid_from").alias(updated_at))
+    changed = batch.join(known, [*table.key, updated_at], "left_anti")
+    units = table.touched(changed)
+    if units:
+        table.rewrite(scd2_apply(table.read(units, state), changed, table.key, updated_at), state)

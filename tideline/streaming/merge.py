@@ -1,45 +1,47 @@
-"""Streams merged into stored tables, exactly once per micro-batch."""
+"""Streams merged into stored tables, each micro-batch exactly once."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tideline.operators.latest import Keys
+from tideline.operators.latest import Keys, as_list
 from tideline.sources.store import StoredTable
 
 
-def merge_stream(
-    stream: DataFrame,
-    table: StoredTable,
-    checkpoint: str,
-    order_by: Keys | None = None,
-    transform: Callable[[DataFrame], DataFrame] | None = None,
-    insert_only: bool = False,
-) -> StreamingQuery:
-    """Merge all files that have arrived and stop.
+@dataclass(frozen=True)
+class Sink:
+    """A table a stream is merged into; with `insert_only` the first row of a key stays."""
 
-    The checkpoint records which files were read; the table records which micro-batch was committed,
-    so a batch that is retried after a failure is not applied twice. Late rows are kept: merging goes
-    by key, and `order_by` keeps newer stored rows. With `insert_only` the first row of a key stays.
+    table: StoredTable
+    order_by: Keys
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df
+    insert_only: bool = False
+
+
+def merge_stream(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str) -> StreamingQuery:
+    """Merge all files that have arrived into every sink, and stop.
+
+    The checkpoint records which files were read. Each table records the last micro-batch it
+    committed, so a batch that is retried after a failure is not applied twice. Late rows are kept:
+    merging goes by key, and newer stored rows stay.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        rows = transform(batch) if transform else batch
         # The query id belongs to the checkpoint, so a new checkpoint starts a new count of batches.
-        name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if insert_only:
-            table.insert_if_absent(rows, order_by, batch_id=(name, number))
-        else:
-            table.upsert(rows, order_by, batch_id=(name, number))
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        for sink in sinks:
+            merge = sink.table.insert_if_absent if sink.insert_only else sink.table.upsert
+            merge(sink.transform(batch), sink.order_by, batch_id=(query, number))
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
 def run_to_end(query: StreamingQuery) -> None:
-    """Wait for a query that stops by itself, and raise its error if it failed."""
+    """Wait for a query that stops by itself; raises its error if it failed."""
     query.awaitTermination()
 
 
@@ -50,5 +52,4 @@ def suppress_duplicates(stream: DataFrame, key: Keys, event_time: str, delay: st
     so use it only where the source bounds its lateness; the keyed merge alone is exact.
     """
     stamped = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    keys = [key] if isinstance(key, str) else list(key)
-    return stamped.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    return stamped.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(as_list(key))
