@@ -55,7 +55,8 @@ def fan_out(df: DataFrame, key: Keys) -> DataFrame:
 def relationships(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Non-null foreign keys without a parent row, with the number of child rows."""
     used = child.filter(F.col(foreign_key).isNotNull()).groupBy(foreign_key).agg(F.count("*").alias("n_rows"))
-    return used.join(parent, F.col(foreign_key) == parent[key], "left_anti")
+    known = parent.select(F.col(key).alias("_known")).distinct()
+    return used.join(known, F.col(foreign_key) == F.col("_known"), "left_anti")
 
 
 def open_versions(dim: DataFrame, key: Keys) -> DataFrame:

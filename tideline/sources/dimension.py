@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_row
 from tideline.operators.scd import current, scd2_apply, scd2_first
-from tideline.sources.store import StoredTable
+from tideline.sources.store import UNIT, StoredTable
 
 
 def snapshot(table: StoredTable, batch: DataFrame, updated_at: str) -> None:
@@ -20,6 +20,6 @@ def snapshot(table: StoredTable, batch: DataFrame, updated_at: str) -> None:
         return
     known = current(table.read(state=state)).select(*table.key, F.col("valid_from").alias(updated_at))
     changed = batch.join(known, [*table.key, updated_at], "left_anti")
-    units = table.touched(changed)
-    if units:
-        table.rewrite(scd2_apply(table.read(units, state), changed, table.key, updated_at), state)
+    staged = table.stage(changed)
+    rows = scd2_apply(table.read(staged.units, state), staged.rows.drop(UNIT), table.key, updated_at)
+    table.merge(state, staged, rows.withColumn(UNIT, table.unit()).hint("rebalance", F.col(UNIT)))
