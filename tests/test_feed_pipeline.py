@@ -11,6 +11,7 @@ from tideline.plans.pipeline import RetailPipeline
 from tideline.session import scratch_dir
 from tideline.sources.extract import extract_since
 from tideline.sources.feed import clean_feed, read_feed, rejected_feed, stream_feed
+from tideline.sources.loader import load_sources
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates
 
@@ -58,6 +59,46 @@ def test_a_new_checkpoint_is_a_new_count_of_batches(spark, tmp_path):
     assert table.read().count() == 2
 
 
+def test_a_retried_batch_is_applied_once_per_sink(spark, tmp_path):
+    log, strict = StoredTable(spark, str(tmp_path / "log"), "delivery_id", 4), StoredTable(spark, str(tmp_path / "s"), "delivery_id", 4)
+    write_feed(tmp_path / "f", "a.csv", FEED)
+    broken = {"now": True}
+
+    def fail_once(raw):
+        if broken["now"]:
+            raise RuntimeError("lost executor")
+        return clean_feed(raw)
+
+    def load():
+        sinks = [Sink(log, "delivery_date", clean_feed), Sink(strict, "delivery_date", fail_once)]
+        run_to_end(merge_stream(stream_feed(spark, str(tmp_path / "f")), sinks, str(tmp_path / "cp")))
+
+    with pytest.raises(Exception, match="lost executor"):
+        load()
+    assert log.state()["version"] == 1 and not strict.exists()
+    broken["now"] = False
+    load()
+    assert log.state()["version"] == 1 and strict.read().count() == 3
+
+
+def test_load_sources_inserts_unseen_keys_only(spark, tmp_path):
+    header = "store_id,store_name,city,province,country,created_timestamp,updated_timestamp,is_active"
+    path = tmp_path / "stores.csv"
+
+    def load(*lines):
+        path.write_text("\n".join([header, *lines]) + "\n")
+        return rows(load_sources(spark, str(tmp_path / "raw"), {"stores": str(path)}, 2))
+
+    one = "1,Store 1,City,Prov,CA,2026-02-22 07:09:17,2026-03-14 06:59:24,Y"
+    assert load(one) == [("stores", 1)]
+    assert load(one) == [("stores", 1)]
+    assert load(one.replace("Store 1", "Changed"), one.replace("1,", "2,", 1)) == [("stores", 2)]
+    table = StoredTable(spark, str(tmp_path / "raw" / "stores"))
+    assert rows(table.read(), "store_id", "store_name") == [(1, "Store 1"), (2, "Store 1")]
+    with pytest.raises(Exception, match="MALFORMED|store_id"):
+        load("x1,Store 1,City,Prov,CA,2026-02-22 07:09:17,2026-03-14 06:59:24,Y")
+
+
 def test_suppress_duplicates(spark, tmp_path):
     events = spark.createDataFrame([(i, T0 + timedelta(minutes=i)) for i in range(20)], "id bigint, ts timestamp_ntz")
     for _ in range(2):
