@@ -127,6 +127,31 @@ def test_scratch_lies_below_the_checkpoint_folder(spark):
     assert one != two and one.startswith(base)
 
 
+class Session:
+    """The parts of a session without a checkpoint folder that `scratch_dir` looks at."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, name, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_without_a_checkpoint_folder():
+    local = Session("local[2]")
+    assert scratch_dir(local, "x").startswith(local.folder)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn"), "x")
+
+
 def pipeline(spark, tmp_path, tables, run_ts=RUN, **options):
     return RetailPipeline(spark, str(tmp_path / "lake"), tables, str(tmp_path / "feed"), run_ts, buckets=2, **options)
 

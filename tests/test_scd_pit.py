@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from tideline.operators.pit import coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.skew import hot_tokens, slice_bounds, slice_of
-from tideline.sources.dimension import snapshot
-from tideline.sources.store import StoredTable
+from tideline.sources.dimension import DimensionTable
 
 T = datetime(2024, 1, 1)
 CHANGES = "k bigint, v string, at timestamp_ntz"
@@ -62,26 +61,36 @@ def test_apply_rules(spark):
 @pytest.mark.parametrize("seed", range(3))
 def test_fold_of_snapshots_equals_rebuild(spark, tmp_path, seed):
     log = random_changes(spark, seed, hot=False)
-    dim = StoredTable(spark, str(tmp_path / "dim"), "k", 4)
+    dim = DimensionTable(spark, str(tmp_path / "dim"), "k", 4)
     latest = None
     for cut in (200, 400, 600):
         seen = log.filter(F.col("at") < F.lit(T + timedelta(hours=cut)).cast("timestamp_ntz"))
-        snapshot(dim, seen, "at")
+        dim.snapshot(seen, "at")
         winners = seen.groupBy("k").agg(F.max_by(F.struct("v", "at"), F.struct("at", "v")).alias("w")).select("k", "w.*")
         latest = winners if latest is None else latest.unionByName(winners).distinct()
     assert spans(dim.read()) == spans(scd2_rebuild(latest, "k", "at"))
+    assert spans(dim.read_open()) == spans(current(dim.read()))
     assert current(dim.read()).groupBy("k").count().filter("count > 1").isEmpty()
 
 
 def test_snapshot_of_an_unchanged_source_writes_nothing(spark, tmp_path):
-    dim = StoredTable(spark, str(tmp_path / "dim"), "k", 4)
+    dim = DimensionTable(spark, str(tmp_path / "dim"), "k", 4)
     batch = changes(spark, (1, "a", 0), (2, "b", 0))
-    snapshot(dim, batch, "at")
+    dim.snapshot(batch, "at")
     version = dim.state()["version"]
-    snapshot(dim, batch, "at")
+    dim.snapshot(batch, "at")
     assert dim.state()["version"] == version
 
 
+def test_snapshot_rewrites_open_versions_and_appends_history(spark, tmp_path):
+    dim = DimensionTable(spark, str(tmp_path / "dim"), "k", 1)
+    for i in range(4):
+        dim.snapshot(changes(spark, (1, f"v{i}", i), (2, "x", 0)), "at")
+    units = dim.state()["units"]
+    assert len(units["open-0"]) == 1 and len(units["closed-0"]) == 3
+    assert dim.read().count() == 5 and rows(dim.read_open(), "k", "v") == [(1, "v3"), (2, "x")]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_sliced_rebuild_equals_plain(spark, seed):
     log = random_changes(spark, seed)
@@ -148,6 +157,9 @@ def test_closed_intervals_match_twice_at_a_change(spark):
     events, dim = pit_data(spark)
     got = pit_join_closed(events, dim, {"k": "k"}, "t", {"v": "found"})
     assert rows(got.filter("e = 2"), "found") == [("a",), ("b",)]
+    between = (F.col("t") >= F.col("valid_from")) & (F.col("t") <= F.col("valid_to"))
+    plain = events.join(dim.withColumnRenamed("k", "dk"), (F.col("k") == F.col("dk")) & between, "left")
+    assert rows(got, "e", "found") == rows(plain, "e", "v")
 
 
 @pytest.mark.parametrize("seed", range(3))

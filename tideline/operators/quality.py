@@ -86,6 +86,12 @@ def grain(output: DataFrame, source: DataFrame) -> DataFrame:
     return counts_of({"output_rows": output, "source_rows": source}).filter("output_rows <> source_rows")
 
 
+def distinct_grain(output: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Rows of `output` and distinct keys of `source`, where they differ."""
+    keys = source.filter(F.col(key).isNotNull()).select(key).distinct()
+    return counts_of({"output_rows": output, "source_keys": keys}).filter("output_rows <> source_keys")
+
+
 def count_consistency(tables: Mapping[str, DataFrame], broken: str) -> DataFrame:
     """The row counts of several tables where the condition `broken` over them holds."""
     return counts_of(tables).filter(broken)

@@ -81,12 +81,12 @@ def shown(sql: str) -> str:
     return f"SELECT * REPLACE (CAST(valid_to AS VARCHAR) AS valid_to) FROM ({sql})"
 
 
-def pit(versions_sql: str, key: str, outputs: str, floor: bool, events: str) -> str:
+def pit(versions_sql: str, key: str, outputs: str, floor: bool, events: str, closed: bool = False) -> str:
     """Range join; with floor, events before the first version of a key take that version."""
     before = "OR (e.order_timestamp < v.first_from AND v.valid_from = v.first_from)" if floor else ""
     return f"""SELECT e.*, {outputs} FROM ({events}) e LEFT JOIN
         (SELECT *, min(valid_from) OVER (PARTITION BY {key}) AS first_from FROM ({versions_sql})) v
-        ON e.{key} = v.{key} AND ((e.order_timestamp >= v.valid_from AND e.order_timestamp < v.valid_to) {before})"""
+        ON e.{key} = v.{key} AND ((e.order_timestamp >= v.valid_from AND e.order_timestamp {"<=" if closed else "<"} v.valid_to) {before})"""
 
 
 EVENTS = f"SELECT order_item_id, product_id, order_timestamp FROM ({SOLD})"
@@ -123,6 +123,7 @@ ORACLES = {
     "feed_clean": CLEAN_FEED,
     "feed_stream": CLEAN_FEED,
     "stream_dedup": "SELECT * FROM events",
+    "stream_dedup_window": "SELECT * FROM events",
     "late_rows": "SELECT * FROM events",
     "extract_since": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01'",
     "insert_if_absent": f"""WITH a AS ({latest_lines(CUT)}), b AS ({latest_lines()})
@@ -151,6 +152,10 @@ ORACLES = {
     "WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)",
     "dim_prep": "SELECT o_orderkey AS order_id, o_orderpriority AS payment_method, o_orderstatus AS order_status, "
     "o_custkey AS customer_id, o_orderdate FROM orders",
+    "dim_prep_products": """SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_brand AS brand,
+        price, changed_at FROM part JOIN (SELECT l_partkey, l_shipdate AS changed_at,
+            CAST(l_extendedprice AS DECIMAL(12,2)) AS price, row_number() OVER (PARTITION BY l_partkey
+            ORDER BY l_shipdate DESC, l_extendedprice DESC) AS rn FROM lineitem) ON p_partkey = l_partkey AND rn = 1""",
     "scd2_rebuild": shown(EVENT_VERSIONS),
     "scd2_apply": shown(
         versions(
@@ -170,6 +175,7 @@ ORACLES = {
     "pit_strict": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, False, EVENTS),
     "pit_floor": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS),
     "pit_asof": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS),
+    "pit_closed": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS, closed=True),
     "coverage_gap": f"""WITH f AS (SELECT l_partkey AS product_id, min(l_shipdate) AS low FROM lineitem GROUP BY 1)
         SELECT count(*) AS n_events, count(*) FILTER (order_timestamp < low) AS before_own_floor,
         count(*) FILTER (order_timestamp < (SELECT min(low) FROM f)) AS before_global_floor
@@ -198,6 +204,8 @@ ORACLES = {
     ),
     "dq_grain": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({WIDE})) AS output_rows,
         (SELECT count(*) FROM ({latest_lines()})) AS source_rows) WHERE output_rows <> source_rows""",
+    "dq_distinct_grain": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({latest_lines()})) AS output_rows,
+        (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS source_keys) WHERE output_rows <> source_keys""",
     "dq_join_nulls": f"""SELECT order_id, order_item_id, product_name, customer_name, store_name FROM ({WIDE})
         WHERE product_name IS NULL OR customer_name IS NULL OR store_name IS NULL""",
     "dq_counts": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({WIDE})) AS wide_rows,

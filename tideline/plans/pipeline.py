@@ -11,13 +11,13 @@ from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import newer_than, stamp
 from tideline.operators.quality import Check, Measures, Result
-from tideline.operators.scd import current, prepare, scd1
+from tideline.operators.scd import prepare, scd1
 from tideline.operators.wide import build_wide
 from tideline.plans import retail
 from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with_current
 from tideline.plans.models import incremental_model
 from tideline.schemas import FEED_COLUMNS, PRIMARY_KEY
-from tideline.sources.dimension import snapshot
+from tideline.sources.dimension import DimensionTable
 from tideline.sources.feed import clean_feed, rejected_feed, stream_feed
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end
@@ -60,6 +60,9 @@ class RetailPipeline:
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", name).read()
 
+    def dimension(self, name: str) -> DimensionTable:
+        return DimensionTable(self.spark, f"{self.root}/gold/{name}", retail.DIMENSIONS[name].key, self.buckets)
+
     @staticmethod
     def _all(step: Callable[[str], None], names) -> None:
         """Run independent jobs side by side; the first error is raised."""
@@ -121,12 +124,12 @@ class RetailPipeline:
         self.table("silver", "wide").overwrite(build_wide(tables, retail.WIDE, derived))
 
     def build_dimensions(self) -> None:
-        def dimension(name: str) -> None:
+        def build(name: str) -> None:
             spec = retail.DIMENSIONS[name]
             batch = prepare(self.silver(spec.source), spec.columns, retail.CURSOR)
-            snapshot(self.table("gold", name, spec.key), batch, retail.CURSOR)
+            self.dimension(name).snapshot(batch, retail.CURSOR)
 
-        self._all(dimension, retail.DIMENSIONS)
+        self._all(build, retail.DIMENSIONS)
         dates = [(self.silver("orders"), "order_timestamp")]
         deliveries = self.silver("supplier_deliveries")
         if deliveries is not None:
@@ -134,7 +137,7 @@ class RetailPipeline:
             suppliers = scd1(deliveries, "supplier_id", "delivery_date", ["supplier_name"], "supplier_key")
             self.table("gold", "dim_supplier").overwrite(suppliers)
         self.table("gold", "dim_date").overwrite(calendar(self.spark, dates))
-        now = current(self.gold("dim_products")).select(*retail.PRODUCTS_CURRENT)
+        now = self.dimension("dim_products").read_open().select(*retail.PRODUCTS_CURRENT)
         self.table("gold", "dim_products_current").overwrite(now)
 
     def build_facts(self) -> None:
@@ -161,11 +164,12 @@ class RetailPipeline:
             retail.FACT_ORDERS,
         )
         status = {"order_status": "current_order_status"}
-        fact = with_current(fact, self.gold("dim_orders"), {"order_id": "order_id"}, status)
+        fact = with_current(fact, self.dimension("dim_orders").read_open(), {"order_id": "order_id"}, status)
         self.table("gold", "fact_orders").overwrite(fact)
         deliveries = self.silver("supplier_deliveries")
         if deliveries is not None:
-            rows = deliveries_fact(deliveries, self.gold("dim_supplier"), self.gold("dim_products"), self.gold("dim_date"))
+            products = self.dimension("dim_products").read_open()
+            rows = deliveries_fact(deliveries, self.gold("dim_supplier"), products, self.gold("dim_date"))
             self.table("gold", "fact_supplier_deliveries").overwrite(rows)
 
     # --- checks ------------------------------------------------------------------------------------
@@ -206,7 +210,7 @@ class RetailPipeline:
             Check("quality_gate", lambda: quality.quality_gate(parts), tags=CI),
         ]
         for name, spec in retail.DIMENSIONS.items():
-            dim = self.gold(name)
+            dim = self.dimension(name).read_open()
             checks.append(Check(f"{name}_open_versions", lambda d=dim, k=spec.key: quality.open_versions(d, k)))
         return checks
 

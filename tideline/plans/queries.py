@@ -12,7 +12,7 @@ from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
 from tideline.operators.latest import distinct_rows, latest_row
-from tideline.operators.pit import coverage_gap, pit_join
+from tideline.operators.pit import coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, prepare, scd1, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
@@ -21,11 +21,11 @@ from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with
 from tideline.plans.models import incremental_model
 from tideline.session import configure, scratch_dir
 from tideline.sources.catalog import Catalog, table_counts
-from tideline.sources.dimension import snapshot
+from tideline.sources.dimension import DimensionTable
 from tideline.sources.extract import extract_since
 from tideline.sources.feed import clean_feed, read_feed, stream_feed
 from tideline.sources.store import StoredTable
-from tideline.streaming.merge import Sink, merge_stream, run_to_end
+from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates
 
 RUN_1 = datetime(2024, 2, 1)
 RUN_2 = datetime(2024, 2, 2)
@@ -112,6 +112,19 @@ def stream_dedup(t):
     return target.read()
 
 
+@query("stream_dedup_window")
+def stream_dedup_window(t):
+    """Every event delivered twice; the delay spans the whole feed, so no first delivery counts as late."""
+    root = scratch_dir(t.spark, "repeats")
+    for _ in range(2):
+        t["events"].write.mode("append").parquet(f"{root}/feed")
+    stream = suppress_duplicates(stream_events(t, f"{root}/feed"), "event_id", "ts", "60 days")
+    rows = stream.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    writer = rows.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    run_to_end(writer.format("parquet").start(f"{root}/out"))
+    return t.spark.read.schema(t["events"].schema).parquet(f"{root}/out")
+
+
 @query("late_rows")
 def late_rows(t):
     root = scratch_dir(t.spark, "late")
@@ -235,6 +248,14 @@ def dim_prep(t):
     return prepare(t["orders"], names, "o_orderdate")
 
 
+@query("dim_prep_products")
+def dim_prep_products(t):
+    latest = latest_row(s.product_changes(t), "product_id", "changed_at")
+    products = t["part"].join(latest, F.col("p_partkey") == F.col("product_id"))
+    names = {"product_id": "product_id", "p_name": "product_name", "p_type": "category", "p_brand": "brand", "price": "price"}
+    return prepare(products, names, "changed_at")
+
+
 @query("scd2_rebuild")
 def rebuild(t):
     return versions_out(scd2_rebuild(s.event_changes(t), "user_id", "ts"))
@@ -242,12 +263,12 @@ def rebuild(t):
 
 @query("scd2_apply")
 def apply_snapshots(t):
-    dim = store(t, "dimension", "user_id")
+    dim = DimensionTable(t.spark, scratch_dir(t.spark, "dimension"), "user_id", buckets=8)
     for cut in (s.LATE_CUT, s.EVENTS_CUT, None):
         changes = s.event_changes(t)
         seen = changes if cut is None else changes.filter(F.col("ts") < F.lit(cut).cast("timestamp_ntz"))
         for _ in range(2):  # the second application changes nothing
-            snapshot(dim, seen, "ts")
+            dim.snapshot(seen, "ts")
     return versions_out(dim.read())
 
 
@@ -307,6 +328,14 @@ def pit_asof(t):
     return product_pit(t, True, "asof")
 
 
+@query("pit_closed")
+def pit_closed(t):
+    return pit_join_closed(
+        product_events(t), s.product_versions(t), {"product_id": "product_id"}, "order_timestamp",
+        {"scd_id": "product_scd_id", "price": "price"}, floor=True,
+    )
+
+
 @query("coverage_gap")
 def gap(t):
     floor = version_floor(s.product_versions(t), "product_id")
@@ -391,6 +420,11 @@ def dq_grain(t):
     return quality.grain(wide_table(t), s.lines(t))
 
 
+@query("dq_distinct_grain")
+def dq_distinct_grain(t):
+    return quality.distinct_grain(s.order_lines(t), t["lineitem"], "l_orderkey")
+
+
 @query("dq_join_nulls")
 def dq_join_nulls(t):
     broken = quality.null_rows(wide_table(t), ["product_name", "customer_name", "store_name"])

@@ -29,10 +29,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Every executor must reach it, so a machine-local default is only made in local mode.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

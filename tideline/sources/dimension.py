@@ -1,25 +1,43 @@
 """Type-2 dimensions kept in stored tables."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.latest import latest_row
-from tideline.operators.scd import current, scd2_apply, scd2_first
+from tideline.operators.latest import Keys, latest_row
+from tideline.operators.scd import is_open, scd2_apply, scd2_first
 from tideline.sources.store import UNIT, StoredTable
 
+OPEN = "open-"
 
-def snapshot(table: StoredTable, batch: DataFrame, updated_at: str) -> None:
-    """Apply one snapshot of the source; the table's key is the natural key of the dimension.
 
-    Rows that already are the open version are left out first, by a narrow join. Only the units of
-    the remaining keys are read in full and written, so an unchanged source writes nothing.
+class DimensionTable(StoredTable):
+    """A dimension by natural key, with open versions and closed history in separate units.
+
+    A snapshot reads and rewrites open versions only; versions it closes are appended to the history,
+    which is never read for it.
     """
-    state = table.state()
-    if state is None:
-        table.overwrite(scd2_first(latest_row(batch, table.key, updated_at), table.key, updated_at))
-        return
-    known = current(table.read(state=state)).select(*table.key, F.col("valid_from").alias(updated_at))
-    changed = batch.join(known, [*table.key, updated_at], "left_anti")
-    staged = table.stage(changed)
-    rows = scd2_apply(table.read(staged.units, state), staged.rows.drop(UNIT), table.key, updated_at)
-    table.merge(state, staged, rows.withColumn(UNIT, table.unit()).hint("rebalance", F.col(UNIT)))
+
+    def __init__(self, spark: SparkSession, root: str, key: Keys, buckets: int = 16):
+        super().__init__(spark, root, key, buckets, F.when(is_open(), "open").otherwise("closed"))
+
+    def read_open(self, state: dict | None = None) -> DataFrame | None:
+        """The current version of every key."""
+        state = state or self.state()
+        return None if state is None else self.read([u for u in state["units"] if u.startswith(OPEN)], state)
+
+    def snapshot(self, batch: DataFrame, updated_at: str) -> None:
+        """Apply one snapshot of the source.
+
+        Rows that already are the open version are left out first, by a narrow join, so an unchanged
+        source writes nothing.
+        """
+        state = self.state()
+        if state is None:
+            self.overwrite(scd2_first(latest_row(batch, self.key, updated_at), self.key, updated_at))
+            return
+        known = self.read_open(state).select(*self.key, F.col("valid_from").alias(updated_at))
+        changed = batch.join(known, [*self.key, updated_at], "left_anti")
+        staged = self.stage(changed, self.bucket())
+        versions = self.read([OPEN + u for u in staged.units], state)
+        rows = scd2_apply(versions, staged.rows.drop(UNIT), self.key, updated_at)
+        self.merge(state, staged, self.placed(rows), replace=lambda unit: unit.startswith(OPEN))
