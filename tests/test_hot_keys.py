@@ -1,0 +1,61 @@
+"""The registered queries on tables in which one key holds a third of the rows."""
+
+import glob
+import os
+
+import pytest
+
+from tests.compare import database, differences
+from tideline.operators.skew import HOT_ROWS_SETTING
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not available")
+
+# One order, one product, one customer and one user with a third of the rows each.
+HOT = {
+    "lineitem": """SELECT * EXCLUDE (r) REPLACE (
+        CASE WHEN r % 3 = 0 THEN 1499 ELSE l_orderkey END AS l_orderkey,
+        CASE WHEN r % 3 = 1 THEN 7 ELSE l_partkey END AS l_partkey,
+        CAST(CASE WHEN r % 3 = 0 THEN 1000 + r % 1700 ELSE l_linenumber END AS INTEGER) AS l_linenumber)
+        FROM (SELECT *, row_number() OVER () AS r FROM lineitem)""",
+    "orders": "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 5 ELSE o_custkey END AS o_custkey) FROM orders",
+    "events": "SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 5 ELSE user_id END AS user_id) FROM events",
+}
+
+LOW = {
+    HOT_ROWS_SETTING: "60",
+    "spark.sql.autoBroadcastJoinThreshold": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+}
+
+
+@pytest.fixture(scope="module")
+def tables(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("hot"))
+    con = database(SF)
+    for path in glob.glob(f"{SF}/*.parquet"):
+        name = os.path.basename(path)[:-8]
+        rows = HOT.get(name, f"SELECT * FROM {name}")
+        con.execute(f"COPY ({rows}) TO '{folder}/{name}.parquet' (FORMAT PARQUET)")
+    return folder
+
+
+@pytest.fixture(scope="module")
+def low_thresholds(spark):
+    before = {name: spark.conf.get(name, None) for name in LOW}
+    for name, value in LOW.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["latest_row", "upsert", "insert_if_absent", "obt", "scd2_rebuild", "scd2_apply", "pit_strict", "pit_floor", "pit_asof",
+     "pit_closed", "coverage_gap", "fact_orders", "fact_deliveries", "dq_unique", "dq_gate"],
+)
+def test_same_rows(spark, tables, low_thresholds, name):
+    _, _, diff, _ = differences(spark, database(tables), name, tables)
+    assert diff == []

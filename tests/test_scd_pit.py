@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.pit import coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_rebuild, snowflake_as_of, version_floor
-from tideline.operators.skew import hot_tokens, slice_bounds, slice_of
+from tideline.operators.skew import HOT_ROWS_SETTING, hot_tokens, slice_bounds, slice_of
 from tideline.sources.dimension import DimensionTable
 
 T = datetime(2024, 1, 1)
@@ -14,6 +14,13 @@ CHANGES = "k bigint, v string, at timestamp_ntz"
 OPEN = datetime(9999, 12, 31)
 
 
+@pytest.fixture
+def hot(spark):
+    """Sets the number of rows above which a key counts as hot."""
+    yield lambda n: spark.conf.set(HOT_ROWS_SETTING, str(n))
+    spark.conf.unset(HOT_ROWS_SETTING)
+
+
 def day(n):
     return T + timedelta(days=n)
 
@@ -30,9 +37,9 @@ def spans(df):
     return rows(df, "k", "v", "valid_from", "valid_to")
 
 
-def random_changes(spark, seed, n=400, hot=True):
+def random_changes(spark, seed, n=400, skewed=True):
     rng = random.Random(seed)
-    keys = [1] * 4 + list(range(2, 12)) if hot else list(range(20))
+    keys = [1] * 4 + list(range(2, 12)) if skewed else list(range(20))
     return spark.createDataFrame(
         [(rng.choice(keys), f"v{rng.randrange(50)}", T + timedelta(hours=rng.randrange(600))) for _ in range(n)], CHANGES
     )
@@ -60,7 +67,7 @@ def test_apply_rules(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_fold_of_snapshots_equals_rebuild(spark, tmp_path, seed):
-    log = random_changes(spark, seed, hot=False)
+    log = random_changes(spark, seed, skewed=False)
     dim = DimensionTable(spark, str(tmp_path / "dim"), "k", 4)
     latest = None
     for cut in (200, 400, 600):
@@ -92,21 +99,25 @@ def test_snapshot_rewrites_open_versions_and_appends_history(spark, tmp_path):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_sliced_rebuild_equals_plain(spark, seed):
+def test_sliced_rebuild_equals_plain(spark, hot, seed):
     log = random_changes(spark, seed)
-    assert hot_tokens(log, "k", 50)
-    plain, sliced = scd2_rebuild(log, "k", "at"), scd2_rebuild(log, "k", "at", hot_rows=50)
-    assert rows(plain) == rows(sliced)
+    plain = rows(scd2_rebuild(log, "k", "at"))
+    hot(50)
+    assert hot_tokens(log, "k")
+    assert rows(scd2_rebuild(log, "k", "at")) == plain
 
 
-def test_sliced_rebuild_with_copies_of_one_instant(spark):
+def test_sliced_rebuild_with_copies_of_one_instant(spark, hot):
     log = spark.createDataFrame([(1, f"v{i % 7}", T if i % 2 else day(i % 5)) for i in range(300)], CHANGES)
-    assert rows(scd2_rebuild(log, "k", "at")) == rows(scd2_rebuild(log, "k", "at", hot_rows=10))
+    plain = rows(scd2_rebuild(log, "k", "at"))
+    hot(10)
+    assert rows(scd2_rebuild(log, "k", "at")) == plain
 
 
-def test_slices_split_a_hot_key_evenly(spark):
+def test_slices_split_a_hot_key_evenly(spark, hot):
+    hot(1000)
     df = spark.range(10_000).selectExpr("1 AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id) AS at")
-    (total,) = hot_tokens(df, "k", 1000).values()
+    (total,) = hot_tokens(df, "k").values()
     bounds = slice_bounds(df, "at", total, 500)
     sizes = [r["count"] for r in df.groupBy(slice_of(F.col("at"), bounds).alias("s")).count().collect()]
     assert len(sizes) == 20 and max(sizes) < 600
@@ -164,7 +175,7 @@ def test_closed_intervals_match_twice_at_a_change(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("floor", [False, True])
-def test_join_forms_agree(spark, seed, floor):
+def test_join_forms_agree(spark, hot, seed, floor):
     dim = scd2_rebuild(random_changes(spark, seed), "k", "at")
     # A gap in the validity of some versions.
     gap = F.when(F.col("v") < "v2", F.col("valid_from") + F.expr("interval 1 hour")).otherwise(F.col("valid_to"))
@@ -173,14 +184,15 @@ def test_join_forms_agree(spark, seed, floor):
     events.write.mode("overwrite").saveAsTable("pit_events")
     events = spark.table("pit_events")
 
-    def found(strategy, **options):
-        got = pit_join(events, dim, {"k": "k"}, "t", {"scd_id": "id", "v": "v2"}, floor, strategy, **options)
+    def found(strategy):
+        got = pit_join(events, dim, {"k": "k"}, "t", {"scd_id": "id", "v": "v2"}, floor, strategy)
         return rows(got, "e", "id", "v2")
 
     expected = found("range")
     assert len(expected) == 600
     assert found("asof") == expected
-    assert found("asof", hot_rows=50) == expected
+    hot(50)
+    assert found("asof") == expected
 
 
 def test_auto_switches_on_many_versions(spark):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import open_end, version_id
 from tideline.operators.latest import Keys, as_list, latest_row, total_order
-from tideline.operators.skew import HOT_ROWS, hot_tokens, is_hot, with_slices
+from tideline.operators.skew import hot_tokens, is_hot, with_slices
 
 VERSION_COLUMNS = ["scd_id", "valid_from", "valid_to"]
 
@@ -33,7 +33,7 @@ def _versions(rows: DataFrame, key: list[str], updated_at: str, valid_to: Column
     )
 
 
-def scd2_rebuild(changes: DataFrame, key: Keys, updated_at: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scd2_rebuild(changes: DataFrame, key: Keys, updated_at: str) -> DataFrame:
     """All versions from a change log; each change closes the one before it.
 
     Of several rows with one key and time the greatest by the other columns counts. One window per
@@ -41,9 +41,9 @@ def scd2_rebuild(changes: DataFrame, key: Keys, updated_at: str, hot_rows: int =
     differs, and that time is its end. Timelines of hot keys are cut into slices first.
     """
     keys = as_list(key)
-    hot = hot_tokens(changes, keys, hot_rows)
+    hot = hot_tokens(changes, keys)
     if hot:
-        return _rebuild_sliced(changes, keys, updated_at, hot, hot_rows)
+        return _rebuild_sliced(changes, keys, updated_at, hot)
     return _versions(_close(changes, keys, keys, updated_at), keys, updated_at, F.col("_next"))
 
 
@@ -54,12 +54,10 @@ def _close(rows: DataFrame, group: list[str], key: list[str], updated_at: str) -
     return later.filter(F.col("_next").isNull() | (F.col("_next") != F.col(updated_at)))
 
 
-def _rebuild_sliced(
-    changes: DataFrame, key: list[str], updated_at: str, hot: dict[int, int], hot_rows: int
-) -> DataFrame:
+def _rebuild_sliced(changes: DataFrame, key: list[str], updated_at: str, hot: dict[int, int]) -> DataFrame:
     # Copies of one key and time cannot be sliced apart; reduce them in the map tasks first.
     single = latest_row(changes, [*key, updated_at], updated_at)
-    rows = with_slices(single, key, updated_at, hot, hot_rows)
+    rows = with_slices(single, key, updated_at, hot)
     closed = _close(rows, [*key, "_slice"], key, updated_at)
     # The last version of a slice ends where the next slice of its key begins. One row per hot key
     # and slice: at most MAX_HOT_KEYS * MAX_SLICES rows.

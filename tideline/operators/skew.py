@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import as_list, Keys
 
+# Rows of one key above which its timeline is sliced, unless the session sets another number.
 HOT_ROWS = 5_000_000
+HOT_ROWS_SETTING = "spark.tideline.hotRows"
 # At most this many keys count as hot. A key beyond them holds less than 1/1000 of all rows, which
 # an ordinary task carries, so results never depend on the limit.
 MAX_HOT_KEYS = 1_000
@@ -23,14 +25,19 @@ def token(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_tokens(df: DataFrame, key: Keys, hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hashes of the keys with more than about `hot_rows` rows, with their row counts.
+def hot_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
+
+
+def hot_tokens(df: DataFrame, key: Keys) -> dict[int, int]:
+    """Hashes of the keys with more than about `hot_limit` rows, with their row counts.
 
     One pass over the key columns with a bounded frequent-items sketch; no shuffle by key.
     """
+    limit = hot_limit(df)
     top = f"approx_top_k(t, {MAX_HOT_KEYS}, {10 * MAX_HOT_KEYS})"
     found = df.select(token(as_list(key)).alias("t")).agg(F.expr(top).alias("top")).first()["top"]
-    return {row["item"]: row["count"] for row in found or [] if row["count"] > hot_rows}
+    return {row["item"]: row["count"] for row in found or [] if row["count"] > limit}
 
 
 def is_hot(key: Keys, hot: dict[int, int]) -> Column:
@@ -56,7 +63,7 @@ def slice_of(at: Column, bounds: list) -> Column:
     return pick(0, len(bounds))
 
 
-def with_slices(df: DataFrame, key: Keys, at: str, hot: dict[int, int], hot_rows: int) -> DataFrame:
+def with_slices(df: DataFrame, key: Keys, at: str, hot: dict[int, int]) -> DataFrame:
     """Add `_slice`: the quantile slice of `at` for hot keys, 0 for the others."""
-    bounds = slice_bounds(df.filter(is_hot(key, hot)), at, sum(hot.values()), hot_rows)
+    bounds = slice_bounds(df.filter(is_hot(key, hot)), at, sum(hot.values()), hot_limit(df))
     return df.withColumn("_slice", F.when(is_hot(key, hot), slice_of(F.col(at), bounds)).otherwise(F.lit(0)))
