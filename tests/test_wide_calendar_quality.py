@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tideline.functions import day_key, full_name
 from tideline.functions.calendar import calendar, day_attributes, day_range
 from tideline.operators import quality as q
-from tideline.operators.wide import Entry, FanOutError, WideConfigError, build_wide, check_entries
+from tideline.operators.wide import Entry, FanOutError, WideConfigError, build_wide, check_entries, join_keys
+from tideline.operators.skew import HOT_ROWS_SETTING
 from tideline.plans.facts import deliveries_fact
 from tideline.sources.catalog import Catalog, save_bucketed, table_counts
 
@@ -36,6 +37,25 @@ def test_wide_keeps_anchor_rows_without_matches(spark):
     assert rows(wide) == [(1, "p", 10, "c10", "p c10"), (1, "p", 11, None, None), (2, None, None, None, None)]
 
 
+def test_join_keys_are_the_equated_columns():
+    entry = Entry("b", "b", [], on="a.id = b.id AND b.k=a.k2 AND b.line > 1.5 AND b.x = b.y")
+    assert join_keys(entry) == ["id", "k"]
+
+
+def test_wide_with_a_hot_expansion_key(spark):
+    lines = spark.range(300).selectExpr("IF(id % 3 = 0, 1, id) AS id", "CAST(id AS int) AS line")
+    entries = [A, Entry("b", "b", ["line"], on="a.id = b.id AND b.line > 1.5")]
+    anchors = spark.range(100).selectExpr("id", "CAST(id AS string) AS x")
+    plain = rows(build_wide({"a": anchors, "b": lines}, entries))
+    spark.conf.set(HOT_ROWS_SETTING, "50")
+    try:
+        hot = build_wide({"a": anchors, "b": lines}, entries)
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+    assert "LeftAnti" in hot._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(hot) == plain and len(plain) > 190
+
+
 @pytest.mark.parametrize(
     "entries",
     [

@@ -12,7 +12,7 @@ from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
 from tideline.operators.latest import distinct_rows, latest_row
-from tideline.operators.pit import coverage_gap, pit_join, pit_join_closed
+from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, prepare, scd1, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
@@ -212,9 +212,24 @@ def distinct(t):
 # --- the wide table ------------------------------------------------------------------------------
 
 
+def stored(t: Catalog, **builders: Callable[[Catalog], DataFrame]) -> list[DataFrame]:
+    """Write tables side by side and read them back: built once, with known sizes, like a pipeline's layers."""
+    root = scratch_dir(t.spark, "tables")
+    with ThreadPoolExecutor(len(builders)) as pool:
+        list(pool.map(lambda item: item[1](t).write.parquet(f"{root}/{item[0]}"), builders.items()))
+    return [t.spark.read.parquet(f"{root}/{name}") for name in builders]
+
+
+def silver_lines(t: Catalog) -> DataFrame:
+    """The latest lines as a stored table, written once per query."""
+    if "lines" not in t.entries:
+        (t["lines"],) = stored(t, lines=s.lines)
+    return t["lines"]
+
+
 def wide_table(t: Catalog, verify: bool = False) -> DataFrame:
     derived = {"customer_name": full_name("customer_first_name", "customer_last_name")}
-    return build_wide(s.wide_inputs(t), s.WIDE, derived, verify)
+    return build_wide(s.wide_inputs(t, silver_lines(t)), s.WIDE, derived, verify)
 
 
 @query("obt")
@@ -297,30 +312,34 @@ def floors(t):
 
 
 def sold_lines(t: Catalog) -> DataFrame:
-    """Order lines with their order's time: the wide table without its lookups."""
-    parts = [e for e in s.WIDE if e.alias in ("o", "oi")]
-    return build_wide(s.wide_inputs(t), parts, verify=False).filter(F.col("order_item_id").isNotNull())
+    """Order lines with the time of their order."""
+    orders = t["orders"].select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_timestamp"))
+    return s.order_lines(t).join(orders, "order_id")
 
 
 def product_events(t: Catalog) -> DataFrame:
     return sold_lines(t).select("order_item_id", "product_id", "order_timestamp")
 
 
-def product_pit(t: Catalog, floor: bool, strategy: str) -> DataFrame:
-    return pit_join(
-        product_events(t), s.product_versions(t), {"product_id": "product_id"}, "order_timestamp",
-        {"scd_id": "product_scd_id", "price": "price"}, floor, strategy,
-    )
+PRODUCT = {"product_id": "product_id"}
+PRODUCT_COLUMNS = {"scd_id": "product_scd_id", "price": "price"}
+
+
+def product_pit(t: Catalog, floor: bool, strategy: str | None = None) -> DataFrame:
+    (versions,) = stored(t, versions=s.product_versions)
+    strategy = strategy or choose_strategy(versions, "product_id")
+    events = product_events(t) if strategy == "range" else stored(t, events=product_events)[0]
+    return pit_join(events, versions, PRODUCT, "order_timestamp", PRODUCT_COLUMNS, floor, strategy)
 
 
 @query("pit_strict")
 def pit_strict(t):
-    return product_pit(t, False, "auto")
+    return product_pit(t, False)
 
 
 @query("pit_floor")
 def pit_floor(t):
-    return product_pit(t, True, "auto")
+    return product_pit(t, True)
 
 
 @query("pit_asof")
@@ -330,16 +349,14 @@ def pit_asof(t):
 
 @query("pit_closed")
 def pit_closed(t):
-    return pit_join_closed(
-        product_events(t), s.product_versions(t), {"product_id": "product_id"}, "order_timestamp",
-        {"scd_id": "product_scd_id", "price": "price"}, floor=True,
-    )
+    events, versions = stored(t, events=product_events, versions=s.product_versions)
+    return pit_join_closed(events, versions, PRODUCT, "order_timestamp", PRODUCT_COLUMNS, floor=True)
 
 
 @query("coverage_gap")
 def gap(t):
     floor = version_floor(s.product_versions(t), "product_id")
-    return coverage_gap(product_events(t), floor, {"product_id": "product_id"}, "order_timestamp")
+    return coverage_gap(product_events(t), floor, PRODUCT, "order_timestamp")
 
 FACT_COLUMNS = [
     "order_id", "order_item_id", "product_id", "customer_scd_id", "product_scd_id", "store_scd_id",
@@ -347,14 +364,6 @@ FACT_COLUMNS = [
 ]
 
 
-def stored(t: Catalog, **builders: Callable[[Catalog], DataFrame]) -> list[DataFrame]:
-    """Write tables side by side and read them back: built once, with known sizes, like a pipeline's layers."""
-    root = scratch_dir(t.spark, "tables")
-    with ThreadPoolExecutor(len(builders)) as pool:
-        list(pool.map(lambda item: item[1](t).write.parquet(f"{root}/{item[0]}"), builders.items()))
-    return [t.spark.read.parquet(f"{root}/{name}") for name in builders]
-
-
 def orders_fact_of(t: Catalog) -> DataFrame:
     orders, customers, products, stores = stored(
         t, orders=s.order_versions, customers=s.customer_versions, products=s.product_versions, stores=s.store_versions
@@ -366,7 +375,7 @@ def orders_fact_of(t: Catalog) -> DataFrame:
             VersionLink("store_scd_id", stores, {"store_id": "store_id"}),
             VersionLink("order_scd_id", orders, {"order_id": "order_id"}),
         ],
-        [VersionLink("product_scd_id", products, {"product_id": "product_id"})],
+        [VersionLink("product_scd_id", products, PRODUCT)],
         both_calendars(t),
         FACT_COLUMNS,
     )
@@ -417,7 +426,7 @@ def dq_expression(t):
 
 @query("dq_grain")
 def dq_grain(t):
-    return quality.grain(wide_table(t), s.lines(t))
+    return quality.grain(wide_table(t), silver_lines(t))
 
 
 @query("dq_distinct_grain")
@@ -433,13 +442,15 @@ def dq_join_nulls(t):
 
 @query("dq_counts")
 def dq_counts(t):
-    wide, lines, fact = stored(t, wide=wide_table, lines=s.lines, fact=orders_fact_of)
+    lines = silver_lines(t)
+    wide, fact = stored(t, wide=wide_table, fact=orders_fact_of)
     tables = {"wide_rows": wide, "line_rows": lines, "fact_rows": fact}
     return quality.count_consistency(tables, "wide_rows <> line_rows OR fact_rows < 1")
 
 
 @query("dq_gate")
 def dq_gate(t):
+    silver_lines(t)
     wide, fact = stored(t, wide=wide_table, fact=orders_fact_of)
     scds = ["customer_scd_id", "product_scd_id", "store_scd_id", "order_scd_id"]
     parts = [

@@ -32,10 +32,9 @@ def line_id() -> Column:
     return F.col("l_orderkey") * 100 + F.col("l_linenumber")
 
 
-def lines(t: Catalog, columns: list[str] | None = None) -> DataFrame:
+def lines(t: Catalog) -> DataFrame:
     """Latest row per order line."""
-    rows = latest_row(t["lineitem"], LINE_KEY, "l_shipdate")
-    return rows if columns is None else rows.select(*columns)
+    return latest_row(t["lineitem"], LINE_KEY, "l_shipdate")
 
 
 def deliveries(t: Catalog) -> DataFrame:
@@ -151,6 +150,7 @@ WIDE = [
 
 
 def order_lines(t: Catalog) -> DataFrame:
+    """Latest lines under the names of the fact."""
     return lines(t).select(
         line_id().alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("line_amount"),
@@ -167,8 +167,8 @@ def order_headers(t: Catalog) -> DataFrame:
     )
 
 
-def wide_inputs(t: Catalog) -> dict[str, DataFrame]:
-    slim = lines(t).select(
+def wide_inputs(t: Catalog, latest_lines: DataFrame) -> dict[str, DataFrame]:
+    slim = latest_lines.select(
         line_id().alias("line_id"), "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
         "l_shipdate", F.col("l_extendedprice").cast(MONEY).alias("line_amount"),
     )
