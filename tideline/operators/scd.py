@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import open_end, version_id
 from tideline.operators.latest import Keys, as_list, latest_row, total_order
-from tideline.operators.skew import hot_tokens, is_hot, with_slices
+from tideline.operators.skew import hot_tokens, is_hot, slice_column
 
 VERSION_COLUMNS = ["scd_id", "valid_from", "valid_to"]
 
@@ -57,14 +57,15 @@ def _close(rows: DataFrame, group: list[str], key: list[str], updated_at: str) -
 def _rebuild_sliced(changes: DataFrame, key: list[str], updated_at: str, hot: dict[int, int]) -> DataFrame:
     # Copies of one key and time cannot be sliced apart; reduce them in the map tasks first.
     single = latest_row(changes, [*key, updated_at], updated_at)
-    rows = with_slices(single, key, updated_at, hot)
-    closed = _close(rows, [*key, "_slice"], key, updated_at)
-    # The last version of a slice ends where the next slice of its key begins. One row per hot key
-    # and slice: at most MAX_HOT_KEYS * MAX_SLICES rows.
-    starts = rows.filter(is_hot(key, hot)).groupBy(*key, "_slice").agg(F.min(updated_at).alias("_start"))
+    in_slice = slice_column(changes, key, updated_at, hot)
+    closed = _close(single.withColumn("_slice", in_slice), [*key, "_slice"], key, updated_at)
+    # The last version of a slice ends where the next slice of its key begins: one row per hot key and
+    # slice, joined on the partitioning the window already has.
+    cut = changes.filter(is_hot(key, hot)).withColumn("_slice", in_slice)
+    starts = cut.groupBy(*key, "_slice").agg(F.min(updated_at).alias("_start"))
     following = F.lead("_start").over(Window.partitionBy(*key).orderBy("_slice"))
     edges = starts.select(*key, "_slice", following.alias("_following"))
-    joined = closed.join(F.broadcast(edges), [*key, "_slice"], "left")
+    joined = closed.join(edges, [*key, "_slice"], "left")
     return _versions(joined, key, updated_at, F.coalesce("_next", "_following"))
 
 

@@ -63,7 +63,7 @@ def slice_of(at: Column, bounds: list) -> Column:
     return pick(0, len(bounds))
 
 
-def with_slices(df: DataFrame, key: Keys, at: str, hot: dict[int, int]) -> DataFrame:
-    """Add `_slice`: the quantile slice of `at` for hot keys, 0 for the others."""
+def slice_column(df: DataFrame, key: Keys, at: str, hot: dict[int, int]) -> Column:
+    """The quantile slice of `at` for hot keys, 0 for the others; `df` holds the rows to be spread."""
     bounds = slice_bounds(df.filter(is_hot(key, hot)), at, sum(hot.values()), hot_limit(df))
-    return df.withColumn("_slice", F.when(is_hot(key, hot), slice_of(F.col(at), bounds)).otherwise(F.lit(0)))
+    return F.when(is_hot(key, hot), slice_of(F.col(at), bounds)).otherwise(F.lit(0))
