@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.data import FEED, LIFE, ROWS, T0, source_tables, write_feed
 from tideline.operators import quality
 from tideline.operators.quality import GateFailed
+from tideline.plans import retail
 from tideline.plans.pipeline import RetailPipeline
 from tideline.session import scratch_dir
 from tideline.sources.extract import extract_since
@@ -160,6 +161,13 @@ def changed_rows(**changes):
     return {**ROWS, **{name: [*ROWS[name], *more] for name, more in changes.items()}}
 
 
+def test_declared_tests():
+    groups = [retail.SILVER_TESTS, retail.WIDE_TESTS, retail.GOLD_TESTS]
+    tests = [t for group in groups for t in group.values()]
+    kinds = [sum(len(getattr(t, kind)) for t in tests) for kind in ("not_null", "unique", "relationships", "expressions")]
+    assert kinds == [83, 20, 9, 5]
+
+
 def test_pipeline_end_to_end(spark, tmp_path):
     write_feed(tmp_path / "feed", "2025-11.csv", FEED)
     first = pipeline(spark, tmp_path, source_tables(spark))

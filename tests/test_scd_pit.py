@@ -114,6 +114,14 @@ def test_sliced_rebuild_with_copies_of_one_instant(spark, hot):
     assert rows(scd2_rebuild(log, "k", "at")) == plain
 
 
+def test_hot_tokens_are_exact_and_ignore_ordinary_keys(spark, hot):
+    df = spark.range(30_000).selectExpr("IF(id % 3 = 0, -1, id) AS k").repartition(8)
+    assert hot_tokens(df, "k") == {}
+    hot(100)
+    assert list(hot_tokens(df, "k").values()) == [10_000]
+    assert hot_tokens(df.limit(0), "k") == {}
+
+
 def test_slices_split_a_hot_key_evenly(spark, hot):
     hot(1000)
     df = spark.range(10_000).selectExpr("1 AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id) AS at")

@@ -19,6 +19,11 @@ HOT_ROWS_SETTING = "spark.tideline.hotRows"
 # an ordinary task carries, so results never depend on the limit.
 MAX_HOT_KEYS = 1_000
 MAX_SLICES = 256
+# Keys tracked by a sketch, groups in which the sketches of the map tasks are merged, and rows that
+# are enough to place the slice bounds.
+TRACKED_ITEMS = 10 * MAX_HOT_KEYS
+MERGE_GROUPS = 256
+SAMPLE_ROWS = 1_000_000
 
 
 def token(keys: Sequence[str]) -> Column:
@@ -30,14 +35,24 @@ def hot_limit(df: DataFrame) -> int:
 
 
 def hot_tokens(df: DataFrame, key: Keys) -> dict[int, int]:
-    """Hashes of the keys with more than about `hot_limit` rows, with their row counts.
+    """Hashes of the keys with more than `hot_limit` rows, with their row counts.
 
-    One pass over the key columns with a bounded frequent-items sketch; no shuffle by key.
+    A frequent-items sketch per map task, merged in groups before the final merge, names candidates
+    without a shuffle by key. Only if there are any, a second narrow pass counts them exactly.
     """
     limit = hot_limit(df)
-    top = f"approx_top_k(t, {MAX_HOT_KEYS}, {10 * MAX_HOT_KEYS})"
-    found = df.select(token(as_list(key)).alias("t")).agg(F.expr(top).alias("top")).first()["top"]
-    return {row["item"]: row["count"] for row in found or [] if row["count"] > limit}
+    tokens = df.select(token(as_list(key)).alias("t"))
+    # One extra item, below any limit: the merge of no sketches at all is an error.
+    some = tokens.unionByName(df.sparkSession.range(1, numPartitions=1).withColumnRenamed("id", "t"))
+    grouped = some.withColumn("g", F.spark_partition_id() % MERGE_GROUPS).groupBy("g")
+    sketches = grouped.agg(F.expr(f"approx_top_k_accumulate(t, {TRACKED_ITEMS})").alias("s"))
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {TRACKED_ITEMS})").alias("s"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})").alias("top")).first()["top"]
+    candidates = [row["item"] for row in found or [] if row["count"] > limit]
+    if not candidates:
+        return {}
+    counts = tokens.filter(F.col("t").isin(candidates)).groupBy("t").count()
+    return {row["t"]: row["count"] for row in counts.collect() if row["count"] > limit}
 
 
 def is_hot(key: Keys, hot: dict[int, int]) -> Column:
@@ -45,9 +60,13 @@ def is_hot(key: Keys, hot: dict[int, int]) -> Column:
 
 
 def slice_bounds(df: DataFrame, at: str, rows: int, rows_per_slice: int) -> list:
-    """Quantiles of `at` that cut `rows` rows into slices of about equal size, at most MAX_SLICES."""
+    """Quantiles of `at` that cut `rows` rows into slices of about equal size, at most MAX_SLICES.
+
+    The bounds steer the balance only, not the result, so a sample of the rows places them.
+    """
     n = min(MAX_SLICES, max(2, -(-rows // rows_per_slice)))
-    cuts = df.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10_000).alias("cuts")).first()["cuts"]
+    some = df if rows <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / rows, seed=1)
+    cuts = some.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10 * MAX_SLICES).alias("cuts")).first()["cuts"]
     return sorted(set(cuts or []))
 
 
