@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators.pit import coverage_gap, pit_join, pit_join_closed
+from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.skew import HOT_ROWS_SETTING, hot_tokens, slice_bounds, slice_of
 from tideline.sources.dimension import DimensionTable
@@ -161,7 +161,7 @@ def pit_data(spark):
     return events, dim
 
 
-@pytest.mark.parametrize("strategy", ["range", "asof", "auto"])
+@pytest.mark.parametrize("strategy", ["range", "binned", "asof", "auto"])
 @pytest.mark.parametrize("floor", [False, True])
 def test_point_in_time_boundaries(spark, strategy, floor):
     events, dim = pit_data(spark)
@@ -198,15 +198,23 @@ def test_join_forms_agree(spark, hot, seed, floor):
 
     expected = found("range")
     assert len(expected) == 600
+    assert found("binned") == expected
     assert found("asof") == expected
     hot(50)
     assert found("asof") == expected
 
 
-def test_auto_switches_on_many_versions(spark):
+def test_auto_looks_at_versions_per_key_and_size(spark, monkeypatch):
     events, dim = pit_data(spark)
-    plan = pit_join(events, dim, {"k": "k"}, "t", {"v": "f"}, strategy="auto", max_versions=1)
-    assert "last(" in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert choose_strategy(dim, "k", 2) == "range"
+    assert choose_strategy(dim, "k", 1) == "binned"
+    plan = pit_join(events, dim, {"k": "k"}, "t", {"v": "f"}, max_versions=1)._jdf.queryExecution().optimizedPlan()
+    assert "rightHint=(strategy=broadcast)" in plan.toString()
+    monkeypatch.setattr("tideline.operators.pit.BINNED_ROWS", 2)
+    assert choose_strategy(dim, "k", 1) == "asof"
+    plan = pit_join(events, dim, {"k": "k"}, "t", {"v": "f"}, strategy="binned")._jdf.queryExecution().optimizedPlan()
+    assert "broadcast" not in plan.toString()
+    assert choose_strategy(dim.limit(0), "k") == "range"
 
 
 def test_coverage_gap_counts_per_key(spark):

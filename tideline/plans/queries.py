@@ -328,7 +328,7 @@ PRODUCT_COLUMNS = {"scd_id": "product_scd_id", "price": "price"}
 def product_pit(t: Catalog, floor: bool, strategy: str | None = None) -> DataFrame:
     (versions,) = stored(t, versions=s.product_versions)
     strategy = strategy or choose_strategy(versions, "product_id")
-    events = product_events(t) if strategy == "range" else stored(t, events=product_events)[0]
+    events = stored(t, events=product_events)[0] if strategy == "asof" else product_events(t)
     return pit_join(events, versions, PRODUCT, "order_timestamp", PRODUCT_COLUMNS, floor, strategy)
 
 
@@ -347,6 +347,11 @@ def pit_asof(t):
     return product_pit(t, True, "asof")
 
 
+@query("pit_binned")
+def pit_binned(t):
+    return product_pit(t, True, "binned")
+
+
 @query("pit_closed")
 def pit_closed(t):
     events, versions = stored(t, events=product_events, versions=s.product_versions)
