@@ -175,7 +175,11 @@ ORACLES = {
     "pit_strict": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, False, EVENTS),
     "pit_floor": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS),
     "pit_asof": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS),
-    "pit_binned": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS),
+    "pit_binned": pit(
+        STORE_VERSIONS, "store_id", "v.scd_id AS store_scd_id", True,
+        "SELECT o_orderkey AS order_id, c_nationkey AS store_id, o_orderdate AS order_timestamp FROM orders "
+        "LEFT JOIN customer ON o_custkey = c_custkey",
+    ),
     "pit_closed": pit(PRODUCT_VERSIONS, "product_id", PIT_OUT, True, EVENTS, closed=True),
     "coverage_gap": f"""WITH f AS (SELECT l_partkey AS product_id, min(l_shipdate) AS low FROM lineitem GROUP BY 1)
         SELECT count(*) AS n_events, count(*) FILTER (order_timestamp < low) AS before_own_floor,
