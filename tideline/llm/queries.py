@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import packing, simhash
+from tideline.llm import packing, quality, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,5 +27,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality.learn_from(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, rules)
+
+
+QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op9_quality": op9_quality}
 ORACLES: dict[str, str] = {}
