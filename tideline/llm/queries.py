@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import packing, quality, simhash
+from tideline.llm import packing, pii, quality, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,11 +27,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit_sample(docs))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn_from(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, rules)
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op9_quality": op9_quality}
+QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op7_pii": op7_pii, "op9_quality": op9_quality}
 ORACLES: dict[str, str] = {}
