@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import packing, pii, quality, simhash
+from tideline.llm import packing, pii, quality, simhash, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,6 +27,30 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+OP5_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM p),
+d AS (SELECT page_id, n, array_to_string([substr('{warc.BASE32}', CAST(1 +
+      ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1) for i in range(32)], '') AS digest FROM h),
+m AS (SELECT digest, max(page_id) AS latest FROM d GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = latest THEN NULL ELSE latest END AS refers_to
+FROM d JOIN m USING (digest)
+"""
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit_sample(docs))
@@ -40,5 +64,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules)
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op7_pii": op7_pii, "op9_quality": op9_quality}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op5_warc": op5_warc, "op7_pii": op7_pii, "op9_quality": op9_quality}
+ORACLES = {"op5_warc": OP5_SQL}
