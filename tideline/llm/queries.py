@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import packing, pii, quality, simhash, warc
+from tideline.llm import packing, pii, quality, simhash, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -64,5 +64,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, rules)
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op5_warc": op5_warc, "op7_pii": op7_pii, "op9_quality": op9_quality}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op5_warc": op5_warc, "op7_pii": op7_pii, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
 ORACLES = {"op5_warc": OP5_SQL}
