@@ -1,8 +1,8 @@
 """Toxic passages: maximum-scoring segments of token log-odds, calibrated by extreme-value statistics."""
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from math import pi, sqrt
+from dataclasses import dataclass, replace
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +17,12 @@ from tideline.llm.words import Table, Words
 LABELLED_ROWS, MAX_TERMS = 20_000, 50_000
 # A term is a word or its first bytes, so that a stem is learned from all its forms.
 STEMS = (4, 5, 6, 7, 8)
-# Z-score and log-odds a term needs, weight of the prior in tokens, what every token costs, and the most it scores.
-LEAST_Z, LEAST_ODDS, PRIOR_TOKENS, COST, TOP = 3.0, 1.0, 20_000.0, 0.15, 4.0
+# Z-score and log-odds a term needs, weight of the prior per token of a side, what every token costs, and the most it scores.
+LEAST_Z, LEAST_ODDS, PRIOR, COST, TOP = 3.0, 1.0, 0.05, 0.15, 4.0
 LEAST_LINES = 3
 # Segments below this score are not reported.
 LEAST_SEGMENT = 1.0
 HISTOGRAM = 400
-EULER = 0.5772156649015329
 
 
 def terms(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -96,10 +95,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def _log_odds(toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float, prior: np.ndarray, n_prior: float):
-    """Log-odds ratio with a Dirichlet prior, and its z-score."""
-    a, b = toxic + prior, other + prior
-    delta = np.log(a / (n_toxic + n_prior - a)) - np.log(b / (n_other + n_prior - b))
+def _log_odds(toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float, share: np.ndarray):
+    """Log-odds ratio with a Dirichlet prior, and its z-score.
+
+    Either side gets prior counts in proportion to its size, so without evidence the ratio is one."""
+    a, b = toxic + PRIOR * n_toxic * share, other + PRIOR * n_other * share
+    delta = np.log(a / ((1 + PRIOR) * n_toxic - a)) - np.log(b / ((1 + PRIOR) * n_other - b))
     return delta, delta / np.sqrt(1 / a + 1 / b)
 
 
@@ -165,8 +166,8 @@ def learn_terms(docs: DataFrame, sample: DataFrame, doc_id: str = "doc_id", text
     at = corpus["term"].to_numpy().astype(np.int64).view(np.uint64)
     all_tokens = float(corpus["tokens"][at == 0].sum())
     counts = dict(zip(at.tolist(), corpus["tokens"]))
-    prior = np.array([counts.get(h, 1.0) for h in hashes.tolist()]) * (PRIOR_TOKENS / max(all_tokens, 1.0))
-    delta, z = _log_odds(some["toxic"].to_numpy(), some["other"].to_numpy(), total["toxic"], total["other"], prior, PRIOR_TOKENS)
+    share = np.array([counts.get(h, 1.0) for h in hashes.tolist()]) / max(all_tokens, 1.0)
+    delta, z = _log_odds(some["toxic"].to_numpy(), some["other"].to_numpy(), total["toxic"], total["other"], share)
     strong = np.flatnonzero((z >= LEAST_Z) & (delta >= LEAST_ODDS))
     strong = np.sort(strong[np.argsort(-z[strong], kind="stable")[:MAX_TERMS]])
     return Lexicon(hashes[strong], np.minimum(delta[strong], TOP))
@@ -174,45 +175,55 @@ def learn_terms(docs: DataFrame, sample: DataFrame, doc_id: str = "doc_id", text
 
 @dataclass(frozen=True)
 class Calibration:
-    """Gumbel location and scale of the best segment in documents that are not toxic, and the logistic that
-    turns the evidence into a score."""
+    """Gumbel law of the best segment in documents that are not toxic: location at one word, its growth with the
+    logarithm of the number of words, and scale; and the logistic that turns the evidence into a score."""
 
     location: float = 0.0
+    growth: float = 0.0
     scale: float = 1.0
     slope: float = 1.0
     bias: float = -3.0
 
+    def evidence(self, best: Column, n_words: Column) -> Column:
+        """Minus the logarithm of the probability that a document of this length without toxic passages has a
+        segment so good. Documents without a segment have no evidence."""
+        tail = F.exp(-(best - self.location - self.growth * _log(n_words)) / self.scale)
+        # 1 - exp(-tail) is tail itself where it is small.
+        p = F.when(tail < 1e-6, tail).otherwise(-F.expm1(-tail))
+        return F.when(best > 0, -F.log(F.greatest(p, F.lit(1e-300)))).otherwise(0.0)
+
+    def score(self, best: Column, n_words: Column) -> Column:
+        return 1 / (1 + F.exp(-(F.lit(self.slope) * self.evidence(best, n_words) + F.lit(self.bias))))
+
 
-def evidence(best: Column, n_words: Column, location: float, scale: float) -> Column:
-    """Minus the logarithm of the probability that a document of this length without toxic passages has a segment
-    so good: the best segment of n words follows an extreme-value law whose location grows with log n. Documents
-    without a segment have no evidence."""
-    tail = F.exp(-(best - F.lit(location)) / scale + F.log(F.greatest(n_words, F.lit(1))))
-    # 1 - exp(-tail) is tail itself where it is small.
-    p = F.when(tail < 1e-6, tail).otherwise(-F.expm1(-tail))
-    return F.when(best > 0, -F.log(F.greatest(p, F.lit(1e-300)))).otherwise(0.0)
+def _log(n_words: Column) -> Column:
+    return F.log(F.greatest(n_words, F.lit(1)).cast("double"))
 
 
 def calibrate(scored: DataFrame) -> Calibration:
     """Fit the calibration to rows (best, n_words, toxic).
 
-    Location and scale are those moments give for the best segments of the rows that are not toxic, less
-    log n times the scale; the scale is no less than a bound, as most such rows have no segment at all.
-    The logistic is fitted to a histogram of the evidence, by Newton steps.
+    From the rows that are not toxic come the growth, by least squares on scores cut at their 99th
+    percentile, and location and scale, from two upper percentiles of what is left, so that a few odd
+    documents do not stretch the law. The logistic is fitted to a histogram of the evidence, by Newton steps.
     """
-    clean = scored.filter("toxic = 0")
-    row = clean.agg(F.stddev("best").alias("sd"), F.avg("best").alias("mean"), F.avg(F.log(F.greatest("n_words", F.lit(1)))).alias("log_n")).first()
-    if row["mean"] is None:
+    clean = scored.filter("toxic = 0").select("best", _log(F.col("n_words")).alias("log_n"))
+    top = clean.agg(F.percentile("best", 0.99)).first()[0]
+    if top is None:
         return Calibration()
-    scale = max((row["sd"] or 0.0) * sqrt(6) / pi, 0.25)
-    location = row["mean"] - EULER * scale - scale * row["log_n"]
-    x = evidence(F.col("best"), F.col("n_words"), location, scale)
+    low = F.least("best", F.lit(top))
+    row = clean.agg(F.covar_pop(low, "log_n").alias("c"), F.var_pop("log_n").alias("v")).first()
+    growth = max(0.0, row["c"] / row["v"]) if row["v"] else 0.0
+    q90, q99 = clean.agg(F.percentile(F.col("best") - growth * F.col("log_n"), [0.9, 0.99])).first()[0]
+    scale = max((q99 - q90) / (log(-log(0.9)) - log(-log(0.99))), 0.25)
+    law = Calibration(q99 + scale * log(-log(0.99)), growth, scale)
+    x = law.evidence(F.col("best"), F.col("n_words"))
     at = F.least(F.floor(x * 8), F.lit(HISTOGRAM - 1)).alias("at")
     bins = scored.groupBy(at).agg(F.sum(F.col("toxic").cast("double")).alias("toxic"), F.count("*").alias("n")).collect()
     value = np.array([(b["at"] + 0.5) / 8 for b in bins])
     toxic, n = np.array([b["toxic"] for b in bins]), np.array([float(b["n"]) for b in bins])
     if not len(value) or toxic.sum() in (0, n.sum()):
-        return Calibration(location, scale)
+        return law
     # Half a row of each label at either end keeps the fit finite where the classes do not overlap.
     value = np.concatenate([value, [0.0, value.max()]])
     toxic, n = np.concatenate([toxic, [0.0, 0.5]]), np.concatenate([n, [0.5, 0.5]])
@@ -223,7 +234,7 @@ def calibrate(scored: DataFrame) -> Calibration:
         hessian = (m * (n * p * (1 - p))[:, None]).T @ m + 1e-3 * np.eye(2)
         step = np.linalg.solve(hessian, m.T @ (toxic - n * p) - 1e-3 * w)
         w += step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
-    return Calibration(location, scale, float(w[0]), float(w[1]))
+    return replace(law, slope=float(w[0]), bias=float(w[1]))
 
 
 SCANNED = T.StructType(
@@ -268,7 +279,6 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     scanned = written(scan(docs, lexicon, doc_id, text), "scanned")
     fold = held_out(F.col("doc_id"))
     fit = calibrate(scanned.filter(~fold).join(F.broadcast(sample), "doc_id"))
-    x = evidence(F.col("best"), F.col("n_words"), fit.location, fit.scale)
-    value = F.round(1 / (1 + F.exp(-(F.lit(fit.slope) * x + F.lit(fit.bias)))), 9)
+    value = F.round(fit.score(F.col("best"), F.col("n_words")), 9)
     out = scanned.select("doc_id", fold.alias("held_out"), value.alias("score"), "passages")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
