@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import packing, pii, quality, simhash, toxicity, warc
+from tideline.llm import licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -23,10 +23,43 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string")))
+    return kept.select("doc_id", "n_units", "n_removed", F.array_join(spans, ",").alias("removed"), F.md5("text").alias("kept_md5"))
+
+
+OP2_SQL = f"""
+WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+units AS (SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS part FROM parts),
+norms AS (SELECT *, trim(regexp_replace(lower(part), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS norm,
+          sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(part) - 1 AS pos FROM units),
+ranked AS (SELECT *, CASE WHEN norm <> '' AND length(norm) - length(replace(norm, ' ', '')) >= {line_dedup.LEAST_WORDS - 1}
+           THEN row_number() OVER (PARTITION BY norm ORDER BY doc_id, k) ELSE 1 END AS n FROM norms)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (n > 1) AS n_removed,
+       coalesce(string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(pos + length(part) AS BIGINT) AS VARCHAR), ',' ORDER BY k)
+                FILTER (n > 1), '') AS removed,
+       md5(coalesce(string_agg(part, chr(10) ORDER BY k) FILTER (n = 1), '')) AS kept_md5
+FROM ranked GROUP BY doc_id
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+OP4_SQL = f"""
+WITH known(license_id, body) AS (VALUES {", ".join("(%s)" % ", ".join("'" + v.replace("'", "''") + "'" for v in row) for row in licenses.KNOWN)}),
+digests AS (SELECT sha256({licenses.canonical_sql("body")}) AS digest, min(license_id) AS license_id FROM known GROUP BY 1),
+own AS (SELECT doc_id, sha256({licenses.canonical_sql("text")}) AS digest FROM documents)
+SELECT doc_id, digest, license_id FROM own LEFT JOIN digests USING (digest)
+"""
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages"))
     return records.select(
@@ -51,6 +84,33 @@ FROM d JOIN m USING (digest)
 """
 
 
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = preference.with_repeated_reply(table(spark, sf_dir, "conversations"))
+    return preference.format_pairs(chosen, rejected)
+
+
+OP6_SQL = """
+WITH c AS (SELECT DISTINCT conv_id AS pair_id, turn, role, text FROM conversations),
+replies AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY turn, text) AS up,
+            row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC) AS down FROM c WHERE role = 'assistant'),
+ends AS (SELECT l.pair_id, l.turn, l.text, CASE WHEN l.up = 1 THEN '' ELSE f.text END AS other
+         FROM replies l JOIN replies f ON l.pair_id = f.pair_id AND f.up = 1 AND l.down = 1),
+r AS (SELECT DISTINCT c.pair_id, c.turn, c.role, CASE WHEN e.pair_id IS NULL THEN c.text ELSE e.other END AS text
+      FROM c LEFT JOIN ends e ON c.pair_id = e.pair_id AND c.turn = e.turn AND c.text = e.text AND c.role = 'assistant'),
+both_sides AS (SELECT *, 'chosen' AS side FROM c UNION ALL SELECT *, 'rejected' FROM r),
+turns AS (SELECT pair_id, turn, role, text, count(*) AS sides, min(side) AS side FROM both_sides GROUP BY pair_id, turn, role, text),
+apart AS (SELECT pair_id, min(turn) AS first FROM turns WHERE sides = 1 GROUP BY pair_id),
+common AS (SELECT t.*, first IS NULL OR turn < first AS prompt FROM turns t LEFT JOIN apart USING (pair_id)),
+parts AS (SELECT pair_id, turn, role, text, 'prompt' AS part FROM common WHERE prompt
+          UNION ALL SELECT pair_id, turn, role, text, side FROM common WHERE NOT prompt
+          UNION ALL SELECT pair_id, turn, role, text, 'rejected' FROM common WHERE NOT prompt AND sides = 2),
+done AS (SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered FROM parts)
+SELECT pair_id, part, turn, role, rendered, CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(role) + 5
+       ELSE length(rendered) END AS BIGINT) AS loss_start, CAST(length(rendered) AS BIGINT) AS loss_end
+FROM done
+"""
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit_sample(docs))
@@ -68,5 +128,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_simhash": op3_simhash, "op5_warc": op5_warc, "op7_pii": op7_pii, "op9_quality": op9_quality, "op10_toxicity": op10_toxicity}
-ORACLES = {"op5_warc": OP5_SQL}
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_simhash": op3_simhash,
+    "op4_licenses": op4_licenses,
+    "op5_warc": op5_warc,
+    "op6_preference": op6_preference,
+    "op7_pii": op7_pii,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
+}
+# Fingerprints, tokenizers and learned models have no SQL form: their queries are tested against brute force.
+ORACLES = {"op2_line_dedup": OP2_SQL, "op4_licenses": OP4_SQL, "op5_warc": OP5_SQL, "op6_preference": OP6_SQL}
