@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import packing, quality, simhash
+from tideline.llm import decontaminate, packing, pii, quality, simhash
 from tideline.llm.queries import TOKENIZER, table
 from tideline.llm.shared import written
 
@@ -18,12 +18,28 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.remove(docs, decontaminate.build_index(docs, table(spark, sf_dir, "benchmark")))
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by the name of its kind."""
+    return pii.redact(docs, pii.fit_sample(docs))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of all remaining documents, one row per piece."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [("quality_rules", quality_rules), ("simhash_dedup", simhash_dedup), ("packing", pack_sequences)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("pii_redaction", redaction),
+    ("packing", pack_sequences),
+]
 # Learned rules, fingerprints and tokenizers have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
 

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc
+from tideline.llm import decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -118,6 +118,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.search(docs, decontaminate.build_index(docs, table(spark, sf_dir, "benchmark")))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality.learn_from(docs, table(spark, sf_dir, "labels"))
@@ -136,6 +141,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_preference": op6_preference,
     "op7_pii": op7_pii,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
