@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tideline.session import scratch_dir
 
 # Bytes of text that one vectorised step inside a task takes at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
