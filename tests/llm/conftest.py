@@ -1,0 +1,33 @@
+import pytest
+from hypothesis import HealthCheck, settings
+from pyspark.sql import types as T
+
+settings.register_profile("text", deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+settings.load_profile("text")
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from (id, text) pairs."""
+
+    def make(rows):
+        return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], DOCS)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def odd_docs(make_docs):
+    """Null and empty texts, a null id, repeated rows and a long text."""
+    long_text = " ".join(f"w{i % 997} x{i}" for i in range(30_000))
+    return make_docs([(1, None), (2, ""), (3, " \n\t "), (None, "no id here"), (4, "same row"), (4, "same row"), (5, long_text)])

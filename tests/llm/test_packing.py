@@ -1,0 +1,71 @@
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tideline.llm.packing import Piece, WordEncoder, balance, binary_sizes, pack
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ENCODER, REFERENCE = WordEncoder(PATH), Tokenizer.from_file(PATH)
+
+
+def expected(text):
+    return REFERENCE.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(), st.text("aeéßÀ'sT0 9.,\n\t\0İΣ<|")), max_size=5))
+def test_encoder_gives_the_ids_of_the_tokenizer(texts):
+    import pyarrow as pa
+
+    texts = [t if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
+    ids, offsets = ENCODER.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [expected(t) for t in texts]
+
+
+def test_every_token_of_the_vocabulary_is_reached_by_its_own_merges():
+    # The byte-level encoder relies on this: a piece that is a token encodes to that token.
+    for token in [t for t in REFERENCE.get_vocab(with_added_tokens=False) if t.endswith("</w>")][::20]:
+        assert [x.value for x in REFERENCE.model.tokenize(token.removesuffix("</w>"))] == [token]
+
+
+@pytest.mark.parametrize("capacity", [64, 2048])
+def test_pieces_cover_every_id_once_without_padding(odd_docs, capacity):
+    rows = pack(odd_docs.withColumn("ids", F.lit("x")).withColumn("length", F.lit(1)), PATH, capacity=capacity, window_tokens=5_000).collect()
+    sequences, docs = {}, {}
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4")
+        assert len(ids) == r["length"] > 0
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        docs.setdefault(r["doc_id"], []).append((r["start"], ids.tolist(), r["doc_tokens"]))
+    for spans in sequences.values():
+        ends = np.cumsum([n for _, n in sorted(spans)])
+        assert [o for o, _ in sorted(spans)] == [0, *ends[:-1]]
+        assert ends[-1] <= capacity and ends[-1] & (ends[-1] - 1) == 0
+    for doc_id, text in {(r["doc_id"], r["text"]) for r in odd_docs.collect()}:
+        copies = odd_docs.filter(F.col("doc_id").eqNullSafe(doc_id)).count()
+        whole = expected(text)
+        got = sorted(docs[doc_id], key=lambda p: p[0])
+        assert sum(len(ids) for _, ids, _ in got) == copies * len(whole)
+        assert all(whole[s : s + len(ids)] == ids and n == len(whole) for s, ids, n in got)
+
+
+def test_empty_table(make_docs):
+    assert pack(make_docs([]), PATH).count() == 0
+
+
+def test_balance_fills_lowest_cost_first():
+    pieces = [Piece(i, 0, np.zeros(n, np.uint32), n) for i, n in enumerate([6, 5, 3, 2, 2, 2])]
+    rows, left = balance(pieces, 10, 1.0, 0.1)
+    assert not left and [sum(len(p.ids) for p in row) for row in rows] == [10, 10]
+    # The piece of three joins the five, whose sequence costs less than that of the six.
+    assert [p.doc for p in rows[0]][0] == 0 and [p.doc for p in rows[1]][:2] == [1, 2]
+
+
+@given(st.integers(0, 2047))
+def test_tail_lengths_are_powers_of_two(total):
+    sizes = binary_sizes(total, 2048)
+    assert sum(sizes) == total and all(n & (n - 1) == 0 for n in sizes)

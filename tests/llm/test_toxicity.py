@@ -1,0 +1,60 @@
+import random
+import zlib
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tideline.llm import toxicity as tx
+
+
+def brute_segments(values):
+    """All maximal segments by their definition: the best segment, then the same left and right of it."""
+    best = None
+    for a in range(len(values)):
+        total = 0.0
+        for b in range(a, len(values)):
+            total += values[b]
+            # The best and, of equal ones, a segment that no shorter one equals.
+            if total > 1e-9 and (best is None or total > best[0] + 1e-9 or (abs(total - best[0]) < 1e-9 and b - a < best[2] - best[1])):
+                best = (total, a, b)
+    if best is None:
+        return []
+    left = brute_segments(values[: best[1]])
+    right = [(s, a + best[2] + 1, b + best[2] + 1) for s, a, b in brute_segments(values[best[2] + 1 :])]
+    return left + [best] + right
+
+
+@given(st.lists(st.one_of(st.just(0.0), st.floats(-4, 4).map(lambda x: round(x, 3) + 0.0004)), max_size=25))
+def test_segments(scores):
+    at = [i for i, s in enumerate(scores) if s]
+    got = tx.segments(at, [scores[i] for i in at])
+    values = [s - tx.COST for s in scores]
+    assert [(round(s, 6), a, b) for s, a, b in got] == [(round(s, 6), a, b) for s, a, b in brute_segments(values)]
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+def test_held_out_documents_are_told_apart(spark, make_docs):
+    rng = random.Random(2)
+    plain = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(800)]
+
+    def text(toxic):
+        words = [rng.choice(plain) for _ in range(rng.randint(40, 120))]
+        for _ in range(3 if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["vilest", "wretchsome", "wretching", "scoundrel"]))
+        return " ".join(words)
+
+    rows = [(i, text(i % 5 == 1)) for i in range(900)]
+    docs = make_docs(rows + [(5000, None), (5001, ""), (None, "a b"), (5002, "wretchery vilest")])
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 1)) for i in range(900)] + [(None, 1, 1), (5000, None, None)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r for r in tx.score(docs, labels).collect()}
+    assert len(out) == 904 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out.values())
+    own = [i for i in range(900) if held(i)]
+    assert all(out[i]["held_out"] == held(i) for i in range(900)) and not out[None]["held_out"]
+    right = sum(out[i]["predicted"] == (i % 5 == 1) for i in own)
+    assert right >= 0.95 * len(own)
+    assert out[5000]["predicted"] == out[5001]["predicted"] == 0 and out[5000]["score"] == out[5001]["score"]
+    assert tx.score(docs.limit(0), labels.limit(0)).count() == 0
+    assert {r["predicted"] for r in tx.score(docs, labels.limit(0)).collect()} == {0}

@@ -21,7 +21,8 @@ SPELLINGS = (
     ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("utilisation", "utilization"),
     ("whilst", "while"), ("wilful", "willful"),
 )
-COPYRIGHT = r"\n[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# A line that starts with the word alone may be text that was wrapped there; a year or mark makes it a notice.
+COPYRIGHT = r"\n[ \t]*(copyright[^\n]*([0-9]{4}|\(c\)|©)|\(c\)|©|all rights reserved)[^\n]*"
 OTHERS = r"[^\p{L}\p{N}]+"
 # Words stand between two spaces each, so that neighbours are replaced independently.
 GAP = "  "
