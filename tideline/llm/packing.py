@@ -210,7 +210,7 @@ def pack(
         for batch in batches:
             encoder = encoder or WordEncoder(tokenizer)
             id_type = batch.schema.field(0).type
-            for part in slices(batch, 1, 16 << 20):
+            for part in slices(batch, 1, 8 << 20):
                 ids, offsets = encoder.encode(part.column(1))
                 full = []
                 for doc, a, b in zip(part.column(0).to_pylist(), offsets, offsets[1:]):
