@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions import open_end, version_id
+from tideline.functions import literal, open_end, version_id
 from tideline.operators.latest import Keys, as_list, latest_row, total_order
 from tideline.operators.skew import hot_tokens, is_hot, slice_column
 
@@ -38,9 +38,11 @@ def scd2_rebuild(changes: DataFrame, key: Keys, updated_at: str) -> DataFrame:
 
     Of several rows with one key and time the greatest by the other columns counts. One window per
     key finds both the winners and the ends: in descending order a row survives if the time above it
-    differs, and that time is its end. Timelines of hot keys are cut into slices first.
+    differs, and that time is its end. Timelines of hot keys are cut into slices first. Rows without a change
+    time begin no version and are left out.
     """
     keys = as_list(key)
+    changes = changes.filter(F.col(updated_at).isNotNull())
     hot = hot_tokens(changes, keys)
     if hot:
         return _rebuild_sliced(changes, keys, updated_at, hot)
@@ -109,7 +111,7 @@ def current(dim: DataFrame) -> DataFrame:
 
 def as_of(dim: DataFrame, at) -> DataFrame:
     """The versions valid at an instant."""
-    instant = F.lit(at).cast("timestamp_ntz")
+    instant = literal(at)
     return dim.filter((F.col("valid_from") <= instant) & (F.col("valid_to") > instant))
 
 

@@ -15,14 +15,8 @@ from tideline.operators.latest import as_list, Keys
 # Rows of one key above which its timeline is sliced, unless the session sets another number.
 HOT_ROWS = 5_000_000
 HOT_ROWS_SETTING = "spark.tideline.hotRows"
-# At most this many keys count as hot. A key beyond them holds less than 1/1000 of all rows, which
-# an ordinary task carries, so results never depend on the limit.
-MAX_HOT_KEYS = 1_000
+# Slices of a broadcast dimension, and rows that are enough to place slice bounds.
 MAX_SLICES = 256
-# Keys tracked by a sketch, groups in which the sketches of the map tasks are merged, and rows that
-# are enough to place the slice bounds.
-TRACKED_ITEMS = 10 * MAX_HOT_KEYS
-MERGE_GROUPS = 256
 SAMPLE_ROWS = 1_000_000
 
 
@@ -37,22 +31,12 @@ def hot_limit(df: DataFrame) -> int:
 def hot_tokens(df: DataFrame, key: Keys) -> dict[int, int]:
     """Hashes of the keys with more than `hot_limit` rows, with their row counts.
 
-    A frequent-items sketch per map task, merged in groups before the final merge, names candidates
-    without a shuffle by key. Only if there are any, a second narrow pass counts them exactly.
+    Counts are formed in the map tasks, so the shuffle carries a hash and a number per key and task. However many
+    keys are above the limit, all of them come back: at most the number of rows divided by the limit.
     """
     limit = hot_limit(df)
-    tokens = df.select(token(as_list(key)).alias("t"))
-    # One extra item, below any limit: the merge of no sketches at all is an error.
-    some = tokens.unionByName(df.sparkSession.range(1, numPartitions=1).withColumnRenamed("id", "t"))
-    grouped = some.withColumn("g", F.spark_partition_id() % MERGE_GROUPS).groupBy("g")
-    sketches = grouped.agg(F.expr(f"approx_top_k_accumulate(t, {TRACKED_ITEMS})").alias("s"))
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(s, {TRACKED_ITEMS})").alias("s"))
-    found = merged.select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})").alias("top")).first()["top"]
-    candidates = [row["item"] for row in found or [] if row["count"] > limit]
-    if not candidates:
-        return {}
-    counts = tokens.filter(F.col("t").isin(candidates)).groupBy("t").count()
-    return {row["t"]: row["count"] for row in counts.collect() if row["count"] > limit}
+    counts = df.select(token(as_list(key)).alias("t")).groupBy("t").count().filter(F.col("count") > limit)
+    return {row["t"]: row["count"] for row in counts.collect()}
 
 
 def is_hot(key: Keys, hot: dict[int, int]) -> Column:
@@ -60,13 +44,13 @@ def is_hot(key: Keys, hot: dict[int, int]) -> Column:
 
 
 def slice_bounds(df: DataFrame, at: str, rows: int, rows_per_slice: int) -> list:
-    """Quantiles of `at` that cut `rows` rows into slices of about equal size, at most MAX_SLICES.
+    """Quantiles of `at` that cut `rows` rows into slices of about `rows_per_slice`.
 
-    The bounds steer the balance only, not the result, so a sample of the rows places them.
+    The rows are those of all hot keys, so no key has more than that in a slice. The bounds steer the balance only, not the result, so a sample of the rows places them.
     """
-    n = min(MAX_SLICES, max(2, -(-rows // rows_per_slice)))
+    n = max(2, -(-rows // rows_per_slice))
     some = df if rows <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / rows, seed=1)
-    cuts = some.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10 * MAX_SLICES).alias("cuts")).first()["cuts"]
+    cuts = some.agg(F.percentile_approx(at, [i / n for i in range(1, n)], 10 * max(n, MAX_SLICES)).alias("cuts")).first()["cuts"]
     return sorted(set(cuts or []))
 
 

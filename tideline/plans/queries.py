@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions import full_name
+from tideline.functions import full_name, literal
 from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
@@ -129,7 +129,7 @@ def stream_dedup_window(t):
 def late_rows(t):
     root = scratch_dir(t.spark, "late")
     bronze, silver = store(t, "bronze", "event_id"), store(t, "silver", "event_id")
-    cut = F.lit(s.LATE_CUT).cast("timestamp_ntz")
+    cut = literal(s.LATE_CUT)
     for drop in (F.col("ts") >= cut, F.col("ts") < cut):
         t["events"].filter(drop).write.mode("append").parquet(f"{root}/feed")
         run_to_end(merge_stream(stream_events(t, f"{root}/feed"), [Sink(bronze, "ts")], f"{root}/checkpoint"))
@@ -143,7 +143,7 @@ def extract_since_cursor(t):
 
 
 def shipped_before_cut():
-    return F.col("l_shipdate") < F.lit(s.ORDERS_CUT).cast("timestamp_ntz")
+    return F.col("l_shipdate") < literal(s.ORDERS_CUT)
 
 
 @query("insert_if_absent")
@@ -169,7 +169,7 @@ def latest(t):
 
 @query("incremental_filter")
 def incremental_filter(t):
-    target = t["events"].filter(F.col("ts") < F.lit(s.EVENTS_CUT).cast("timestamp_ntz"))
+    target = t["events"].filter(F.col("ts") < literal(s.EVENTS_CUT))
     return newer_than(t["events"], "ts", high_water(target, "ts"))
 
 
@@ -281,7 +281,7 @@ def apply_snapshots(t):
     dim = DimensionTable(t.spark, scratch_dir(t.spark, "dimension"), "user_id", buckets=8)
     for cut in (s.LATE_CUT, s.EVENTS_CUT, None):
         changes = s.event_changes(t)
-        seen = changes if cut is None else changes.filter(F.col("ts") < F.lit(cut).cast("timestamp_ntz"))
+        seen = changes if cut is None else changes.filter(F.col("ts") < literal(cut))
         for _ in range(2):  # the second application changes nothing
             dim.snapshot(seen, "ts")
     return versions_out(dim.read())

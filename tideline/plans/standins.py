@@ -17,7 +17,6 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 EVENTS_CUT = datetime(2024, 1, 20)
 LATE_CUT = datetime(2024, 1, 10)
 ORDERS_CUT = datetime(2000, 1, 1)
-AS_OF_EVENTS = datetime(2024, 1, 15)
 AS_OF_ORDERS = datetime(1998, 6, 1)
 
 MONEY = "decimal(12,2)"
