@@ -4,11 +4,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.data import FEED, LIFE, ROWS, T0, source_tables, write_feed
+from tests.data import FEED, FEED_HEADER, LIFE, ROWS, T0, source_tables, write_feed
 from tideline.operators import quality
 from tideline.operators.quality import GateFailed
 from tideline.plans import retail
-from tideline.plans.pipeline import RetailPipeline
+from tideline.plans.pipeline import FEED as FEED_TABLE
+from tideline.plans.pipeline import FRESHNESS, Freshness, RetailPipeline
+from tideline.schemas import PRIMARY_KEY
 from tideline.session import scratch_dir
 from tideline.sources.extract import extract_since
 from tideline.sources.feed import clean_feed, read_feed, rejected_feed, stream_feed
@@ -30,7 +32,27 @@ def test_feed_types_blanks_and_rejects(spark, tmp_path):
     assert clean.count() == 4 and dict(clean.dtypes)["unit_cost"] == "decimal(10,2)"
     missing = clean.filter("is_unit_cost_missing").select("delivery_id", "unit_cost").distinct()
     assert rows(missing) == [("DEL-2", None)]
-    assert rows(rejected_feed(raw), "delivery_id") == [("DEL-8",), ("DEL-9",)]
+    assert rows(rejected_feed(raw), "delivery_id", "reason") == [("DEL-8", "delivery_date"), ("DEL-9", "product_id")]
+
+
+def test_feed_lines_of_another_length_or_without_id_are_rejected(spark, tmp_path):
+    write_feed(tmp_path / "f", "a.csv", [*FEED, "DEL-7,SUP-1", "DEL-6,SUP-1,North,1,2025-11-08,1,1.00,9", ",SUP-1,North,1,2025-11-08,1,1.00"])
+    raw = read_feed(spark, str(tmp_path / "f"))
+    assert clean_feed(raw).count() == 4
+    got = rows(rejected_feed(raw), "delivery_id", "reason", "line")
+    assert got == [
+        ("DEL-6", "fields", "DEL-6,SUP-1,North,1,2025-11-08,1,1.00,9"),
+        ("DEL-7", "fields", "DEL-7,SUP-1"),
+        (None, "delivery_id", None),
+    ]
+
+
+def test_feed_with_another_header_raises(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    names = FEED_HEADER.split(",")
+    (tmp_path / "f" / "a.csv").write_text("\n".join([",".join([names[1], names[0], *names[2:]]), *FEED]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        clean_feed(read_feed(spark, str(tmp_path / "f"))).collect()
 
 
 def test_stream_reads_each_file_once_and_later_files_win(spark, tmp_path):
@@ -90,14 +112,14 @@ def test_load_sources_inserts_unseen_keys_only(spark, tmp_path):
         path.write_text("\n".join([header, *lines]) + "\n")
         return rows(load_sources(spark, str(tmp_path / "raw"), {"stores": str(path)}, 2))
 
-    one = "1,Store 1,City,Prov,CA,2026-02-22 07:09:17,2026-03-14 06:59:24,Y"
+    one = "1,Store 1,City,Prov,CA,2025-03-01 10:00:00,2025-03-02 11:00:00,Y"
     assert load(one) == [("stores", 1)]
     assert load(one) == [("stores", 1)]
     assert load(one.replace("Store 1", "Changed"), one.replace("1,", "2,", 1)) == [("stores", 2)]
     table = StoredTable(spark, str(tmp_path / "raw" / "stores"))
     assert rows(table.read(), "store_id", "store_name") == [(1, "Store 1"), (2, "Store 1")]
     with pytest.raises(Exception, match="MALFORMED|store_id"):
-        load("x1,Store 1,City,Prov,CA,2026-02-22 07:09:17,2026-03-14 06:59:24,Y")
+        load("x1,Store 1,City,Prov,CA,2025-03-01 10:00:00,2025-03-02 11:00:00,Y")
 
 
 def test_suppress_duplicates(spark, tmp_path):
@@ -153,7 +175,12 @@ def test_scratch_without_a_checkpoint_folder():
         scratch_dir(Session("yarn"), "x")
 
 
+# The rows of the tests are older than the runs.
+AGES = {name: Freshness(limits.cursor, timedelta(days=365), timedelta(days=365)) for name, limits in FRESHNESS.items()}
+
+
 def pipeline(spark, tmp_path, tables, run_ts=RUN, **options):
+    options.setdefault("freshness", AGES)
     return RetailPipeline(spark, str(tmp_path / "lake"), tables, str(tmp_path / "feed"), run_ts, buckets=2, **options)
 
 
@@ -222,8 +249,61 @@ def test_pipeline_reports_orders_without_lines(spark, tmp_path):
 
 def test_feed_freshness(spark, tmp_path):
     write_feed(tmp_path / "feed", "2025-11.csv", FEED)
+    only = {FEED_TABLE: FRESHNESS[FEED_TABLE]}
+
+    def failures(hours):
+        run = pipeline(spark, tmp_path, source_tables(spark), RUN + timedelta(hours=hours), freshness=only)
+        return {r.check.severity: r.failures for r in quality.run_checks(run.freshness_checks())}
+
+    assert failures(0) == {"warn": 1, "error": 1}
     run = pipeline(spark, tmp_path, source_tables(spark))
     run.ingest_feed()
-    assert quality.run_checks([run.feed_freshness(RUN + timedelta(hours=24))])[0].failures == 0
-    assert quality.run_checks([run.feed_freshness(RUN + timedelta(hours=26))])[0].failures == 1
+    assert failures(24) == {"warn": 0, "error": 0}
+    assert failures(26) == {"warn": 1, "error": 0}
+    assert failures(51) == {"warn": 1, "error": 1}
     assert rows(run.table("bronze", "supplier_deliveries_rejected").read()) == []
+
+
+def test_rejected_lines_are_kept_once(spark, tmp_path):
+    run = pipeline(spark, tmp_path, source_tables(spark))
+    for name in ("a.csv", "b.csv"):
+        write_feed(tmp_path / "feed", name, [*FEED, "DEL-7,SUP-1", "DEL-7,SUP-1"])
+        run.ingest_feed()
+    assert run.table("bronze", "supplier_deliveries").read().count() == 3
+    assert run.table("bronze", "supplier_deliveries_rejected").read().count() == 2  # one per file
+
+
+def test_stale_orders_stop_the_run_before_silver(spark, tmp_path):
+    write_feed(tmp_path / "feed", "2025-11.csv", FEED)
+    run = pipeline(spark, tmp_path, source_tables(spark), freshness=FRESHNESS)
+    with pytest.raises(GateFailed, match="orders_fresh_error"):
+        run.run()
+    assert not run.table("silver", "orders", "order_id").exists()
+
+
+def test_a_missing_table_fails_its_gate(spark, tmp_path):
+    run = pipeline(spark, tmp_path, source_tables(spark))
+    with pytest.raises(GateFailed, match="gold: never written: .*fact_orders"):
+        run.check(retail.GOLD_TESTS, run.gold, "gold")
+
+
+def test_a_small_second_run_reads_and_writes_little(spark, tmp_path):
+    write_feed(tmp_path / "feed", "2025-11.csv", FEED)
+    pipeline(spark, tmp_path, source_tables(spark)).run()
+    later = T0 + timedelta(days=40)
+    line = (999, 1, 2, 1, Decimal(1), Decimal(1), later, later, "Y")
+    run = pipeline(spark, tmp_path, source_tables(spark, changed_rows(order_items=[line])), RUN + timedelta(days=1))
+    tables = [run.table(layer, n, key) for n, key in PRIMARY_KEY.items() for layer in ("bronze", "silver")]
+    before = {t.root: t.state() for t in tables}
+    run.run()
+    after = {t.root: t.state() for t in tables}
+    changed = {
+        root.rsplit("/", 1)[1] + ":" + unit: 1
+        for root, state in after.items()
+        for unit, runs in state["units"].items()
+        if runs != before[root]["units"].get(unit)
+    }
+    assert len(changed) == 1 and next(iter(changed)).startswith("order_items:202512")
+    bronze = run.table("bronze", "order_items", "order_item_id")
+    assert bronze.changed(before[bronze.root]["version"], bronze.state()).count() == 1
+    assert bronze.state()["marks"]["updated_timestamp"] == str(later)

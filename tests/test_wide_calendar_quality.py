@@ -10,7 +10,7 @@ from tideline.operators import quality as q
 from tideline.operators.wide import Entry, FanOutError, WideConfigError, build_wide, check_entries, join_keys
 from tideline.operators.skew import HOT_ROWS_SETTING
 from tideline.plans.facts import deliveries_fact
-from tideline.sources.catalog import Catalog, save_bucketed, table_counts
+from tideline.sources.catalog import Catalog, table_counts
 
 A = Entry("a", "a", ["id", ("x", "ax")])
 
@@ -185,8 +185,8 @@ def test_catalog_and_counts(spark, tmp_path):
 
 def test_bucketed_tables_join_without_a_shuffle(spark):
     orders = spark.range(100).selectExpr("id AS order_id", "id % 7 AS c")
-    save_bucketed(orders, "b_orders", ["order_id"], 4)
-    save_bucketed(orders.selectExpr("order_id", "order_id * 2 AS line"), "b_lines", ["order_id"], 4)
+    for name, df in (("b_orders", orders), ("b_lines", orders.selectExpr("order_id", "order_id * 2 AS line"))):
+        df.write.bucketBy(4, "order_id").sortBy("order_id").mode("overwrite").saveAsTable(name)
     names = Catalog(spark, {"orders": "table:b_orders", "lines": "table:b_lines"})
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

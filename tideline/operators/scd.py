@@ -49,6 +49,16 @@ def scd2_rebuild(changes: DataFrame, key: Keys, updated_at: str) -> DataFrame:
     return _versions(_close(changes, keys, keys, updated_at), keys, updated_at, F.col("_next"))
 
 
+def scd2_open(changes: DataFrame, key: Keys, updated_at: str) -> DataFrame:
+    """The open version of every key of a change log: the open rows of `scd2_rebuild`.
+
+    Only the latest change of a key counts, so a key sends one row per map task through the shuffle, and there
+    is no timeline to be sliced.
+    """
+    changes = changes.filter(F.col(updated_at).isNotNull())
+    return scd2_first(latest_row(changes, key, updated_at), key, updated_at)
+
+
 def _close(rows: DataFrame, group: list[str], key: list[str], updated_at: str) -> DataFrame:
     plain = rows.drop("_slice")
     w = Window.partitionBy(*group).orderBy(*total_order(plain, key, updated_at))

@@ -120,12 +120,22 @@ SNAPSHOT_TIMES = " UNION ".join(
 
 ORACLES = {
     "feed_batch": FEED,
+    "feed_rejects": f"""SELECT CASE WHEN n <> 3 THEN delivery_id END AS delivery_id, CAST(supplier_id AS VARCHAR) AS supplier_id,
+        CASE n WHEN 1 THEN 'fields' WHEN 2 THEN 'fields' WHEN 3 THEN 'delivery_id' WHEN 4 THEN 'delivery_date'
+            ELSE 'quantity_received' END AS reason,
+        CASE n WHEN 1 THEN delivery_id || ',' || supplier_id
+            WHEN 2 THEN concat_ws(',', delivery_id, supplier_id, s_name, product_id, delivery_date, quantity,
+                coalesce(CAST(unit_cost AS VARCHAR), ''), '9') END AS line
+        FROM (SELECT *, CAST(string_split(delivery_id, '-')[3] AS INTEGER) AS n FROM ({DELIVERIES}))
+        LEFT JOIN supplier ON supplier_id = s_suppkey WHERE n <= 5""",
     "feed_clean": CLEAN_FEED,
     "feed_stream": CLEAN_FEED,
     "stream_dedup": "SELECT * FROM events",
     "stream_dedup_window": "SELECT * FROM events",
     "late_rows": "SELECT * FROM events",
-    "extract_since": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01'",
+    "extract_since": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_shipdate DESC, {LINE_TIES.replace("l_quantity", "l_linenumber DESC, l_quantity")}) AS rn
+        FROM lineitem WHERE l_shipdate > TIMESTAMP '2000-01-01') WHERE rn = 1""",
     "insert_if_absent": f"""WITH a AS ({latest_lines(CUT)}), b AS ({latest_lines()})
         SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (
             SELECT 1 FROM a WHERE a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber)""",
@@ -201,14 +211,16 @@ ORACLES = {
         {" UNION ALL ".join(f"SELECT '{c}' AS rule, count(*) AS n_rows FROM ({WIDE}) WHERE {c} IS NULL"
             for c in ("order_id", "product_id", "store_id", "customer_id", "order_item_id"))}) WHERE n_rows > 0""",
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
-    "dq_relationship": """SELECT c_custkey, count(*) AS n_rows FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1""",
+    "dq_relationship": """SELECT o_orderkey, count(*) AS n_rows FROM orders
+        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",
     "dq_expression": " UNION ALL ".join(
         f"SELECT '{r}' AS rule, count(*) AS n_rows FROM lineitem WHERE NOT ({r}) HAVING count(*) > 0"
         for r in ("l_quantity > 0", "l_quantity < 50", "l_discount < 0.05")
     ),
     "dq_grain": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({WIDE})) AS output_rows,
         (SELECT count(*) FROM ({latest_lines()})) AS source_rows) WHERE output_rows <> source_rows""",
+    "dq_fact_grain": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({FACT})) AS output_rows,
+        (SELECT count(*) FROM lineitem) AS source_rows) WHERE output_rows <> source_rows""",
     "dq_distinct_grain": f"""SELECT * FROM (SELECT (SELECT count(*) FROM ({latest_lines()})) AS output_rows,
         (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS source_keys) WHERE output_rows <> source_keys""",
     "dq_join_nulls": f"""SELECT order_id, order_item_id, product_name, customer_name, store_name FROM ({WIDE})

@@ -2,28 +2,53 @@
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import newer_than, stamp
-from tideline.operators.quality import Check, Measures, Result
+from tideline.operators.quality import Check, GateFailed, Measures, Result
 from tideline.operators.scd import prepare, scd1
 from tideline.operators.wide import build_wide
 from tideline.plans import retail
 from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with_current
-from tideline.plans.models import incremental_model
-from tideline.schemas import FEED_COLUMNS, PRIMARY_KEY
+from tideline.plans.models import layer_model
+from tideline.schemas import PRIMARY_KEY
 from tideline.sources.dimension import DimensionTable
 from tideline.sources.feed import clean_feed, rejected_feed, stream_feed
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end
 
-# Fixed value: how old the latest feed load may be.
-FEED_LIMIT = timedelta(hours=25)
 CI = frozenset({"ci"})
+FEED = "supplier_deliveries"
+# Tables that exist only where there is a feed.
+OF_FEED = {FEED, "dim_supplier", "fact_supplier_deliveries"}
+EPOCH = datetime(1970, 1, 1)
+
+
+@dataclass(frozen=True)
+class Freshness:
+    """How old the latest value of a source's cursor may be before the run warns, and before it stops."""
+
+    cursor: str
+    warn: timedelta | None = None
+    error: timedelta | None = None
+
+
+# Fixed value: how old the latest feed load may be. Orders come daily, other tables may rest.
+DAY = timedelta(hours=25)
+FRESHNESS = {
+    FEED: Freshness("loaded_at", DAY, 2 * DAY),
+    "orders": Freshness(retail.CURSOR, DAY, 7 * DAY),
+    "order_items": Freshness(retail.CURSOR, DAY, 7 * DAY),
+} | {name: Freshness(retail.CURSOR, 30 * DAY) for name in ("customers", "stores", "products", "employees")}
+# Tables that grow with time lie below the month a row was created in, so a batch touches few units.
+BY_MONTH = {"orders": "created_timestamp", "order_items": "created_timestamp"}
 
 
 class RetailPipeline:
@@ -41,6 +66,7 @@ class RetailPipeline:
         run_ts: datetime,
         buckets: int = 16,
         lookback: timedelta | None = None,
+        freshness: Mapping[str, Freshness] = FRESHNESS,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -49,9 +75,12 @@ class RetailPipeline:
         self.run_ts = run_ts
         self.buckets = buckets
         self.lookback = lookback
+        self.freshness = freshness
 
     def table(self, layer: str, name: str, key=()) -> StoredTable:
-        return StoredTable(self.spark, f"{self.root}/{layer}/{name}", key, self.buckets)
+        created = BY_MONTH.get(name) if key else None
+        label = F.date_format(created, "yyyyMM") if created else None
+        return StoredTable(self.spark, f"{self.root}/{layer}/{name}", key, self.buckets, label, created or ())
 
     def silver(self, name: str) -> DataFrame:
         return self.table("silver", name).read()
@@ -72,8 +101,9 @@ class RetailPipeline:
 
     def run(self) -> list[Result]:
         self.ingest()
+        results = quality.gate("sources", self.freshness_checks())
         self.build_silver()
-        results = self.check(retail.SILVER_TESTS, self.silver, "silver")
+        results += self.check(retail.SILVER_TESTS, self.silver, "silver")
         self.build_wide()
         results += self.check(retail.WIDE_TESTS, self.silver, "wide", self.wide_checks())
         self.build_dimensions()
@@ -93,7 +123,7 @@ class RetailPipeline:
     def ingest_feed(self) -> None:
         """Merge newly arrived files; malformed rows go to a reject table."""
         bronze = self.table("bronze", "supplier_deliveries", "delivery_id")
-        rejects = self.table("bronze", "supplier_deliveries_rejected", [*FEED_COLUMNS, "source_file"])
+        rejects = self.table("bronze", "supplier_deliveries_rejected", "reject_id")
 
         def stamped(clean: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
             return lambda raw: clean(raw).withColumn("loaded_at", stamp(self.run_ts))
@@ -106,16 +136,13 @@ class RetailPipeline:
 
     def build_silver(self) -> None:
         def model(name: str) -> None:
-            target = self.table("silver", name, PRIMARY_KEY[name])
-            source = self.table("bronze", name).read()
-            incremental_model(source, target, retail.CURSOR, run_ts=self.run_ts, lookback=self.lookback)
+            source, target = (self.table(layer, name, PRIMARY_KEY[name]) for layer in ("bronze", "silver"))
+            layer_model(source, target, retail.CURSOR, self.run_ts, self.lookback)
 
         self._all(model, PRIMARY_KEY)
-        feed = self.table("bronze", "supplier_deliveries").read()
-        if feed is not None:
-            target = self.table("silver", "supplier_deliveries", "delivery_id")
-            # Files arrive by month, so a day can grow after it was loaded: the load stamp is the cursor.
-            incremental_model(feed, target, "loaded_at", run_ts=self.run_ts)
+        # Files arrive by month, so a day can grow after it was loaded: the load stamp is the cursor.
+        source, target = (self.table(layer, FEED, "delivery_id") for layer in ("bronze", "silver"))
+        layer_model(source, target, "loaded_at", self.run_ts)
 
     def build_wide(self) -> None:
         tables = {e.table: self.silver(e.table) for e in retail.WIDE}
@@ -125,8 +152,14 @@ class RetailPipeline:
     def build_dimensions(self) -> None:
         def build(name: str) -> None:
             spec = retail.DIMENSIONS[name]
-            batch = prepare(self.silver(spec.source), spec.columns, retail.CURSOR)
-            self.dimension(name).snapshot(batch, retail.CURSOR)
+            dim, rows = self.dimension(name), self.silver(spec.source)
+            state = dim.state()
+            if state is not None and "silver" in state["batches"]:
+                # Rows merged since the last snapshot that changed anything, its own run included.
+                last = EPOCH + timedelta(microseconds=state["batches"]["silver"])
+                rows = rows.filter(F.col("processed_at") >= stamp(last))
+            mark = ("silver", (self.run_ts - EPOCH) // timedelta(microseconds=1))
+            dim.snapshot(prepare(rows, spec.columns, retail.CURSOR), retail.CURSOR, mark)
 
         self._all(build, retail.DIMENSIONS)
         dates = [(self.silver("orders"), "order_timestamp")]
@@ -176,7 +209,11 @@ class RetailPipeline:
     def check(
         self, tests: Mapping[str, retail.Tests], read: Callable[[str], DataFrame], stage: str, more: list[Check] = ()
     ) -> list[Result]:
+        """The declared tests and `more`. A table that was never written fails the gate, but for those of an absent feed."""
         tables = {name: read(name) for name in tests}
+        missing = [n for n, df in tables.items() if df is None and not (self.feed is None and n in OF_FEED)]
+        if missing:
+            raise GateFailed(f"{stage}: never written: {', '.join(missing)}")
         checks = declared_checks(tests, {n: df for n, df in tables.items() if df is not None}, read)
         return quality.gate(stage, [*checks, *more])
 
@@ -213,10 +250,22 @@ class RetailPipeline:
             checks.append(Check(f"{name}_open_versions", lambda d=dim, k=spec.key: quality.open_versions(d, k)))
         return checks
 
-    def feed_freshness(self, now: datetime, limit: timedelta = FEED_LIMIT) -> Check:
-        """The feed gate: its latest load must be recent."""
-        bronze = self.table("bronze", "supplier_deliveries").read()
-        return Check("feed_freshness", lambda: quality.freshness(bronze, "loaded_at", now, limit))
+    def freshness_checks(self) -> list[Check]:
+        """Each source's latest row must be recent at the time of the run. A source that was never loaded fails its
+        checks, but for the feed where there is none."""
+        checks = []
+        for name, limits in self.freshness.items():
+            if name == FEED and self.feed is None:
+                continue
+            rows = self.table("bronze", name).read()
+            for severity, limit in ((quality.WARN, limits.warn), (quality.ERROR, limits.error)):
+                if limit is None:
+                    continue
+                if rows is None:
+                    rows = self.spark.createDataFrame([], f"{limits.cursor} timestamp_ntz")
+                stale = partial(quality.freshness, rows, limits.cursor, self.run_ts, limit)
+                checks.append(Check(f"{name}_fresh_{severity}", stale, severity))
+        return checks
 
 
 def declared_checks(

@@ -13,17 +13,18 @@ from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
 from tideline.operators.latest import distinct_rows, latest_row
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
-from tideline.operators.scd import as_of, current, prepare, scd1, scd2_rebuild, snowflake_as_of, version_floor
+from tideline.operators.scd import as_of, prepare, scd1, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
 from tideline.plans import standins as s
 from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with_current
 from tideline.plans.models import incremental_model
+from tideline.schemas import FEED_COLUMNS
 from tideline.session import configure, scratch_dir
 from tideline.sources.catalog import Catalog, table_counts
 from tideline.sources.dimension import DimensionTable
 from tideline.sources.extract import extract_since
-from tideline.sources.feed import clean_feed, read_feed, stream_feed
+from tideline.sources.feed import clean_feed, read_feed, rejected_feed, stream_feed
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates
 
@@ -31,6 +32,7 @@ RUN_1 = datetime(2024, 2, 1)
 RUN_2 = datetime(2024, 2, 2)
 FRESH_NOW = datetime(2024, 2, 5)
 FRESH_LIMIT = timedelta(hours=25)
+LATE_SPAN = timedelta(days=12)
 
 QUERIES = {}
 
@@ -72,6 +74,23 @@ def feed_batch(t):
     return clean_feed(read_feed(t.spark, path)).drop("source_file")
 
 
+@query("feed_rejects")
+def feed_rejects(t):
+    """The feed with damaged lines: cut short, one field too many, without an id, and with unreadable values."""
+    fields = [F.col(c).cast("string") for c in FEED_COLUMNS]
+    number = F.regexp_extract("delivery_id", "([0-9]+)$", 1).cast("int")
+    texts = {c: F.coalesce(f, F.lit("")) for c, f in zip(FEED_COLUMNS, fields)}
+    texts["delivery_id"] = F.when(number != 3, texts["delivery_id"]).otherwise("")
+    texts["delivery_date"] = F.when(number != 4, texts["delivery_date"]).otherwise("soon")
+    texts["quantity_received"] = F.when(number != 5, texts["quantity_received"]).otherwise("x")
+    whole = F.concat_ws(",", *texts.values())
+    line = F.when(number == 1, F.concat_ws(",", *list(texts.values())[:2])).when(number == 2, F.concat(whole, F.lit(",9")))
+    path = scratch_dir(t.spark, "damaged")
+    rows = s.delivery_feed(t).select(line.otherwise(whole).alias(",".join(FEED_COLUMNS)))
+    rows.write.options(header=True, sep="\x01", quote="").csv(path)
+    return rejected_feed(read_feed(t.spark, path)).select("delivery_id", "supplier_id", "reason", "line")
+
+
 DELIVERY_ORDER = ["delivery_date", "product_id", "supplier_id", "supplier_name", "quantity", "unit_cost"]
 
 
@@ -127,19 +146,21 @@ def stream_dedup_window(t):
 
 @query("late_rows")
 def late_rows(t):
+    """Clicks from the cut on arrive after all other events; the lookback reaches back to the cut and no further."""
     root = scratch_dir(t.spark, "late")
     bronze, silver = store(t, "bronze", "event_id"), store(t, "silver", "event_id")
-    cut = literal(s.LATE_CUT)
-    for drop in (F.col("ts") >= cut, F.col("ts") < cut):
+    late = (F.col("ts") >= literal(s.EVENTS_CUT)) & (F.col("event_type") == "click")
+    for drop in (~late, late):
         t["events"].filter(drop).write.mode("append").parquet(f"{root}/feed")
         run_to_end(merge_stream(stream_events(t, f"{root}/feed"), [Sink(bronze, "ts")], f"{root}/checkpoint"))
-        incremental_model(bronze.read(), silver, "ts", lookback=timedelta(days=60))
+        incremental_model(bronze.read(), silver, "ts", lookback=LATE_SPAN)
     return silver.read()
 
 
 @query("extract_since")
 def extract_since_cursor(t):
-    return extract_since(t["orders"], "o_orderdate", "o_orderkey", s.ORDERS_CUT)
+    """The last line shipped of every order that had one shipped after the cut."""
+    return extract_since(t["lineitem"], "l_shipdate", "l_orderkey", s.ORDERS_CUT)
 
 
 def shipped_before_cut():
@@ -289,7 +310,7 @@ def apply_snapshots(t):
 
 @query("dim_current")
 def dim_current(t):
-    return current(s.product_versions(t)).select("scd_id", "product_id", "price")
+    return scd2_open(s.product_changes(t), "product_id", "changed_at").select("scd_id", "product_id", "price")
 
 
 @query("dim_asof")
@@ -398,7 +419,8 @@ def fact_orders(t):
 @query("fact_orders_status")
 def fact_orders_status(t):
     return with_current(
-        sold_lines(t).select("order_id", "order_item_id"), s.order_versions(t), {"order_id": "order_id"},
+        sold_lines(t).select("order_id", "order_item_id"), scd2_open(s.order_changes(t), "order_id", "changed_at"),
+        {"order_id": "order_id"},
         {"order_status": "current_order_status"},
     )
 
@@ -407,7 +429,8 @@ def fact_orders_status(t):
 def fact_deliveries(t):
     rows = latest_row(s.deliveries(t), "delivery_id", "delivery_date")
     suppliers = t["supplier"].select(F.col("s_suppkey").alias("supplier_id"))
-    return deliveries_fact(rows, suppliers, s.product_versions(t), both_calendars(t))
+    products = scd2_open(s.product_changes(t), "product_id", "changed_at")
+    return deliveries_fact(rows, suppliers, products, both_calendars(t))
 
 
 # --- data quality --------------------------------------------------------------------------------
@@ -425,7 +448,8 @@ def dq_unique(t):
 
 @query("dq_relationship")
 def dq_relationship(t):
-    return quality.relationships(t["customer"], "c_custkey", t["orders"], "o_custkey")
+    """Orders that no line refers to."""
+    return quality.relationships(t["orders"], "o_orderkey", t["lineitem"], "l_orderkey")
 
 
 @query("dq_expression")
@@ -438,6 +462,12 @@ def dq_grain(t):
     return quality.grain(wide_table(t), silver_lines(t))
 
 
+@query("dq_fact_grain")
+def dq_fact_grain(t):
+    """The fact against the raw lines, in which keys repeat."""
+    return quality.grain(orders_fact_of(t), t["lineitem"])
+
+
 @query("dq_distinct_grain")
 def dq_distinct_grain(t):
     return quality.distinct_grain(s.order_lines(t), t["lineitem"], "l_orderkey")

@@ -5,6 +5,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class Catalog:
@@ -13,6 +14,8 @@ class Catalog:
     def __init__(self, spark: SparkSession, entries: Mapping[str, str | DataFrame]):
         self.spark = spark
         self.entries = dict(entries)
+        # Schemas of parquet entries, inferred by one job each at the first read.
+        self.schemas: dict[str, StructType] = {}
 
     @classmethod
     def of_folder(cls, spark: SparkSession, folder: str, names: list[str]) -> "Catalog":
@@ -26,7 +29,9 @@ class Catalog:
             return entry
         if entry.startswith("table:"):
             return self.spark.table(entry.removeprefix("table:"))
-        return self.spark.read.parquet(entry)
+        if entry not in self.schemas:
+            self.schemas[entry] = self.spark.read.parquet(entry).schema
+        return self.spark.read.schema(self.schemas[entry]).parquet(entry)
 
     def __setitem__(self, name: str, entry: str | DataFrame) -> None:
         self.entries[name] = entry
@@ -36,11 +41,3 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its name and number of rows (read from file footers where possible)."""
     counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)
-
-
-def save_bucketed(df: DataFrame, table: str, columns: list[str], buckets: int) -> None:
-    """Full refresh of a catalog table bucketed and sorted by join columns.
-
-    Tables bucketed alike join, group and rank by these columns without a shuffle.
-    """
-    df.write.bucketBy(buckets, *columns).sortBy(*columns).mode("overwrite").saveAsTable(table)

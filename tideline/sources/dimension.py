@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import Keys, latest_row
 from tideline.operators.scd import is_open, scd2_apply, scd2_first
-from tideline.sources.store import UNIT, StoredTable
+from tideline.sources.store import UNIT, StoredTable, replace_unit
 
 OPEN = "open-"
 
@@ -25,19 +25,21 @@ class DimensionTable(StoredTable):
         state = state or self.state()
         return None if state is None else self.read([u for u in state["units"] if u.startswith(OPEN)], state)
 
-    def snapshot(self, batch: DataFrame, updated_at: str) -> None:
-        """Apply one snapshot of the source.
+    def snapshot(self, batch: DataFrame, updated_at: str, mark: tuple[str, int] | None = None) -> None:
+        """Apply one snapshot of the source, or its changes since an earlier one.
 
         Rows that already are the open version are left out first, by a narrow join, so an unchanged
-        source writes nothing.
+        source writes nothing. `mark` is a (writer, number) pair kept with the commit, for the caller to find
+        where it stopped.
         """
         state = self.state()
         if state is None:
-            self.overwrite(scd2_first(latest_row(batch, self.key, updated_at), self.key, updated_at))
+            first = scd2_first(latest_row(batch, self.key, updated_at), self.key, updated_at)
+            self._write(self.placed(first), None, mark, replace_unit)
             return
         known = self.read_open(state).select(*self.key, F.col("valid_from").alias(updated_at))
         changed = batch.join(known, [*self.key, updated_at], "left_anti")
         staged = self.stage(changed, self.bucket())
         versions = self.read([OPEN + u for u in staged.units], state)
         rows = scd2_apply(versions, staged.rows.drop(UNIT), self.key, updated_at)
-        self.merge(state, staged, self.placed(rows), replace=lambda unit: unit.startswith(OPEN))
+        self.merge(state, staged, self.placed(rows), mark, replace=lambda unit: unit.startswith(OPEN))
