@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
-from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_rebuild, snowflake_as_of, version_floor
+from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.skew import HOT_ROWS_SETTING, hot_tokens, slice_bounds, slice_of
 from tideline.sources.dimension import DimensionTable
 
@@ -221,3 +221,11 @@ def test_coverage_gap_counts_per_key(spark):
     events, dim = pit_data(spark)
     row = coverage_gap(events, version_floor(dim, "k"), {"k": "k"}, "t").first()
     assert (row["n_events"], row["before_own_floor"], row["before_global_floor"]) == (8, 1, 0)
+
+
+def test_open_versions_come_from_the_latest_rows(spark):
+    log = changes(spark, (1, "a", 0), (1, "b", 2), (1, "c", 2), (2, "x", 1))
+    late = scd2_open(log, "k", "at")
+    expected = current(scd2_rebuild(log, "k", "at"))
+    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, expected.select(late.columns).collect()))
+    assert "WindowGroupLimit" in late._jdf.queryExecution().executedPlan().toString()
