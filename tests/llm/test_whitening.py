@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+
+from tideline.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>, x string, component int, n int, whitened string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 1, 2, None) for i, v in rows], SCHEMA)
+
+
+def brute(rows):
+    """Per usable row its x, and covariance of the distinct ones, from whole numbers."""
+    usable = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(np.int64) + 1_000_000) for i, v in rows if v and None not in v and np.isfinite(v).all()]
+    distinct = np.array(sorted({tuple(x.tolist()) for _, x in usable}), np.int64)
+    n, sums = len(distinct), distinct.sum(axis=0)
+    apart = (n * distinct - sums).astype(object)
+    cov = np.array((apart.T @ apart).tolist(), dtype=float) / n**3
+    return usable, n, sums, cov
+
+
+def check(spark, rows, expected_components):
+    frame = table(spark, rows)
+    model = whitening.fit(frame)
+    out = whitening.components_of(frame, model).collect()
+    usable, n, sums, cov = brute(rows)
+    values = np.sort(np.linalg.eigvalsh(cov))[::-1][:16]
+    assert len(model.components) == expected_components
+    assert len(out) == len(usable) * expected_components
+    e, v = model.eigenvalues, model.components
+    assert np.allclose(e, values[: len(e)], rtol=1e-9, atol=1e-9 * values[0])
+    assert np.abs(cov @ v.T - v.T * e).max() <= 1e-11 * values[0] * 10
+    assert np.abs(v @ v.T - np.eye(len(v))).max() < 1e-12
+    got = {}
+    for r in out:
+        got.setdefault((r["vec_id"], r["deviation"]), {}).setdefault(r["component"], []).append(r["whitened"])
+        assert r["n"] == n and r["identity_error"] <= 1e-4 and abs(r["explained"] - e[r["component"] - 1] / np.trace(cov)) <= 1e-9
+    for i, x in usable:
+        exact = sum(int(a) ** 2 for a in (n * x.astype(object) - sums))
+        own = got[i, exact]
+        assert sorted(own) == list(range(1, expected_components + 1))
+        for c, found in own.items():
+            assert np.allclose(found, (x - sums / n) @ v[c - 1] / np.sqrt(e[c - 1]), rtol=1e-7, atol=1e-7)
+
+
+def test_components_match_the_covariance_of_distinct_vectors(spark):
+    rng = np.random.default_rng(3)
+    wide = rng.normal(size=(300, 24)) @ (rng.normal(size=(24, 24)) * np.logspace(0, -2, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(wide)]
+    rows += [(900 + i, rows[0][1]) for i in range(100)] + [(5, rows[5][1]), (None, rows[6][1])]
+    rows += [(1000, None), (1001, []), (1002, [None] + [0.0] * 23), (1003, [float("nan")] * 24), (1004, [float("inf")] * 24), (1005, [-float("inf")] * 24)]
+    check(spark, rows, 16)
+
+
+def test_directions_without_variance_have_no_component(spark):
+    rng = np.random.default_rng(4)
+    flat = np.round(rng.normal(size=(60, 3)) * 64) / 64
+    rows = [(i, [a, 2 * a, b, 7.0, c, a + b]) for i, (a, b, c) in enumerate(flat.tolist())]
+    check(spark, rows, 3)
+    check(spark, [(1, [0.5, 1.0, 2.0]), (2, [0.25, 1.0, 2.5])], 1)
+
+
+def test_nearly_dependent_columns_stay_orthonormal(spark):
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(400, 1)) * 5e3
+    rows = [(i, v.tolist()) for i, v in enumerate(np.hstack([a + rng.normal(size=(400, 1)) * 0.5 for _ in range(6)]))]
+    check(spark, rows, 6)
+
+
+def test_nothing_to_whiten(spark):
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        frame = table(spark, rows)
+        assert whitening.components_of(frame, whitening.fit(frame)).count() == 0
+    with pytest.raises(ValueError):
+        whitening.fit(table(spark, [(1, [1.0]), (2, [1.0, 2.0])]))
+
+
+def test_large_deviations_stay_exact():
+    x = np.array([[1_000_000 + 40, 999_000]])
+    n, sums = 10**9, np.array([10**15, 10**15])
+    assert [int(v) for v in whitening.squared_deviations(x, n, sums)] == [(40 * 10**9) ** 2 + (1000 * 10**9) ** 2]

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc
+from tideline.llm import decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -133,6 +133,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.components_of(rows, whitening.fit(rows))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -144,6 +149,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
 }
 # Fingerprints, tokenizers and learned models have no SQL form: their queries are tested against brute force.
 ORACLES = {"op2_line_dedup": OP2_SQL, "op4_licenses": OP4_SQL, "op5_warc": OP5_SQL, "op6_preference": OP6_SQL}
