@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc, whitening
+from tideline.llm import bpe, decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -138,6 +138,17 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components_of(rows, whitening.fit(rows))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
+    whole = bpe.decode(bpe.encode(docs, path, bpe.build_lexicon(docs, path)), path)
+    return whole.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -150,6 +161,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
+    "op12_bpe": op12_bpe,
 }
 # Fingerprints, tokenizers and learned models have no SQL form: their queries are tested against brute force.
 ORACLES = {"op2_line_dedup": OP2_SQL, "op4_licenses": OP4_SQL, "op5_warc": OP5_SQL, "op6_preference": OP6_SQL}
