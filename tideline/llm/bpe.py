@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from tideline.llm.files import put
 from tideline.llm.packing import byte_alphabet
-from tideline.llm.shared import slices
+from tideline.llm.shared import most_frequent, slices, written
 from tideline.llm.transducer import Transducer, compile_words, spread
 from tideline.session import scratch_dir
 
@@ -27,7 +27,7 @@ WORDS, LONGEST = 1 << 16, 48
 # Pieces with more symbols are merged with a heap, shorter ones many at a time.
 WIDE = 48
 # Ids that one step of the decoder turns into text.
-DECODE_IDS = 1 << 20
+DECODE_IDS = 1 << 18
 NO_RANK = np.int64(1) << 40
 # Fixed pattern: words of these characters are their own composed form and have a plain lower case.
 PLAIN = r"^[!-~À-ÖØ-öø-ÿ]*$"
@@ -57,8 +57,9 @@ class Merges:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        vocabulary = model["vocab"]
+            spec = json.load(file)
+        model, vocabulary = spec["model"], spec["model"]["vocab"]
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         letters = sorted(byte_alphabet().items(), key=lambda item: item[1])
         self.inner = np.array([vocabulary[c] for c, _ in letters], np.int64)
         self.last = np.array([vocabulary[c + SUFFIX] for c, _ in letters], np.int64)
@@ -170,12 +171,16 @@ class Encoder:
     """Ids of texts: frequent words from a transducer, the pieces of all others from it or by merging."""
 
     def __init__(self, path: str, lexicon: Transducer | None = None):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.merges, self.lexicon = Merges(path), lexicon
-        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.path, self.merges, self.lexicon = path, Merges(path), lexicon
+        self.special = self.merges.special
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.to_byte = byte_alphabet()
 
+    @functools.cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The normaliser and pre-tokeniser for words that are not plain; few tables need them."""
+        return Tokenizer.from_file(self.path)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins in them and the last one ends."""
         words = split_words(texts)
@@ -289,7 +294,8 @@ def frequent_words(docs: DataFrame, text: str = "text", words: int = WORDS, long
         yield from pruned(held, words).to_batches()
 
     counts = docs.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
+    chosen = most_frequent(written(counts, "words"), words).collect()
+    return [r["word"] for r in sorted(chosen, key=lambda r: (-r["n"], r["word"]))]
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str, text: str = "text", words: int = WORDS) -> str:
@@ -334,7 +340,9 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, doc_id:
 
 @functools.lru_cache(maxsize=2)
 def _token_texts(tokenizer: str) -> pa.Array:
-    vocabulary = Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True)
+    with open(tokenizer, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
     texts: list[str | None] = [None] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         texts[i] = token

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc, whitening
+from tideline.llm import alignment, bpe, decontaminate, licenses, line_dedup, packing, pii, preference, quality, simhash, toxicity, warc, whitening
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -149,6 +149,12 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.score(docs, alignment.pair_counts(docs, *paths), *paths)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -162,6 +168,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
     "op12_bpe": op12_bpe,
+    "op13_alignment": op13_alignment,
 }
 # Fingerprints, tokenizers and learned models have no SQL form: their queries are tested against brute force.
 ORACLES = {"op2_line_dedup": OP2_SQL, "op4_licenses": OP4_SQL, "op5_warc": OP5_SQL, "op6_preference": OP6_SQL}
