@@ -3,7 +3,7 @@
 import functools
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
@@ -30,6 +30,8 @@ ASCII_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LANE, PROBES = 256, 16
 # Id pairs whose counts every task holds: the most frequent ones. All others are joined.
 HEAVY = 1 << 18
+# Segments whose ids a task keeps from one slice to the next, at most; the first ones seen are the frequent ones.
+KNOWN = 1 << 17
 # Distinct pairs that a counting task holds before it passes their counts on.
 HELD = 1 << 20
 
@@ -52,14 +54,18 @@ class Tokenizers:
         )
         self.a_sizes = pc.binary_length(self.a_bytes).to_numpy().astype(np.int64)
         self.b_sizes = pc.binary_length(self.b_bytes).to_numpy().astype(np.int64)
+        self.known: dict[str, tuple[list[int], list[int]]] = {}
         # Without a piece that goes on after a space inside it, no merge crosses a space after another character.
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def encode(self, segments: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """Ids and number of ids per segment for A and for B. A segment begins with a space, which B adds itself."""
         texts = segments.to_pylist()
-        own = [self.a.encode_ordinary(t) for t in texts]
-        other = self.b.encode([t[1:] for t in texts], num_threads=1)
+        new = [t for t in texts if t not in self.known]
+        ids = dict(zip(new, zip(map(self.a.encode_ordinary, new), self.b.encode([t[1:] for t in new], num_threads=1))))
+        own, other = zip(*[self.known.get(t) or ids[t] for t in texts]) if texts else ((), ())
+        for t in new[: KNOWN - len(self.known)]:
+            self.known[t] = ids[t]
         return _flat(own), _flat(other)
 
 
@@ -67,7 +73,7 @@ def _by_id(size: int, tokens: dict[int, bytes]) -> pa.Array:
     return pa.array([tokens.get(i, b"") for i in range(size)], pa.binary())
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: Sequence[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
     return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
 
