@@ -3,7 +3,7 @@
 import functools
 import hashlib
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -54,26 +54,34 @@ class Tokenizers:
         )
         self.a_sizes = pc.binary_length(self.a_bytes).to_numpy().astype(np.int64)
         self.b_sizes = pc.binary_length(self.b_bytes).to_numpy().astype(np.int64)
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        nothing = np.empty(0, np.int64)
+        self.known, self.known_ids = pa.array([], pa.string()), ((nothing, nothing), (nothing, nothing))
         # Without a piece that goes on after a space inside it, no merge crosses a space after another character.
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
 
     def encode(self, segments: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """Ids and number of ids per segment for A and for B. A segment begins with a space, which B adds itself."""
-        texts = segments.to_pylist()
-        new = [t for t in texts if t not in self.known]
-        ids = dict(zip(new, zip(map(self.a.encode_ordinary, new), self.b.encode([t[1:] for t in new], num_threads=1))))
-        own, other = zip(*[self.known.get(t) or ids[t] for t in texts]) if texts else ((), ())
-        for t in new[: KNOWN - len(self.known)]:
-            self.known[t] = ids[t]
-        return _flat(own), _flat(other)
+        at = pc.index_in(segments, self.known)
+        new = segments.filter(at.is_null())
+        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = len(self.known) + np.arange(len(new))
+        texts = new.to_pylist()
+        own = [self.a.encode_ordinary(t) for t in texts]
+        other = self.b.encode([t[1:] for t in texts], num_threads=1)
+        both = [(np.concatenate([ids, more]), np.concatenate([n, m])) for (ids, n), (more, m) in zip(self.known_ids, (_flat(own), _flat(other)))]
+        found = tuple((ids[spread((np.cumsum(n) - n)[at], n[at])], n[at]) for ids, n in both)
+        if len(self.known) < KNOWN:
+            self.known = pa.concat_arrays([self.known, new.slice(0, KNOWN - len(self.known))])
+            kept = [n[: len(self.known)] for _, n in both]
+            self.known_ids = tuple((ids[: int(n.sum())], n) for (ids, _), n in zip(both, kept))
+        return found
 
 
 def _by_id(size: int, tokens: dict[int, bytes]) -> pa.Array:
     return pa.array([tokens.get(i, b"") for i in range(size)], pa.binary())
 
 
-def _flat(lists: Sequence[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
     return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
 
