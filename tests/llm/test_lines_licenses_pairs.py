@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.compare import database, differences
@@ -14,38 +16,79 @@ def test_queries_match_their_sql(spark, name):
     assert ours == theirs > 0 and not apart, (apart, kinds)
 
 
-def brute_dedup(rows, separator="\n"):
-    seen, out = set(), []
-    for _, text in rows:
-        at, kept, gone = 0, [], []
-        for part in (text or "").split(separator):
-            norm = " ".join("".join(c if c.isalnum() else " " for c in part.lower()).split())
-            if len(norm.split()) >= line_dedup.LEAST_WORDS and norm in seen:
-                gone.append((at, at + len(part)))
-            else:
-                kept.append(part)
-                seen.add(norm)
-            at += len(part) + len(separator)
-        out.append((separator.join(kept), gone))
+def brute_dedup(rows):
+    """Per row (kept text, offsets, removed words, longest run): every line and paragraph looked up among all earlier ones."""
+    units, docs = [], []
+    for d, (_, text) in enumerate(rows):
+        parts = (text or "").split("\n")
+        norms = [" ".join("".join(c if c.isalnum() else " " for c in p.lower()).split()) for p in parts]
+        held = [k for k, n in enumerate(norms) if n]
+        spans = [(k, k) for k in held]
+        start = None
+        for k, n in enumerate([*norms, ""]):
+            if n and start is None:
+                start = k
+            elif not n and start is not None:
+                if k - start > 1:
+                    spans.append((start, k - 1))
+                start = None
+        units += [(" ".join(norms[a : b + 1]), d, a, b) for a, b in spans]
+        docs.append((parts, norms, held))
+    gone = [set() for _ in rows]
+    for text, d, a, b in units:
+        if any(t == text and (x, y) < (d, a) for t, x, y, _ in units):
+            gone[d].update(range(a, b + 1))
+    out = []
+    for (parts, norms, held), lost in zip(docs, gone):
+        at, spans, run, longest = 0, [], 0, 0
+        for k, part in enumerate(parts):
+            if k in lost:
+                spans.append((at, at + len(part)))
+            at += len(part) + 1
+        for k in held:
+            run = run + len(norms[k].split()) if k in lost else 0
+            longest = max(longest, run)
+        out.append(("\n".join(p for k, p in enumerate(parts) if k not in lost), spans, sum(len(norms[k].split()) for k in lost), longest))
     return out
 
 
-@pytest.mark.parametrize("unit", ["line", "paragraph"])
-def test_repeated_units_go_with_their_offsets(make_docs, unit):
-    gap = line_dedup.SEPARATORS[unit]
-    line = "The quick brown fox, again."
-    rows = [(1, gap.join([line, "short", "é a unit of its own"])), (2, gap.join(["short", line.upper(), "new words come here now", line])), (3, None), (4, ""), (5, line)]
-    out = {r["doc_id"]: r for r in line_dedup.dedup(make_docs(rows).withColumn("row", F.lit(1)).withColumn("parts", F.lit(1)), unit=unit).collect()}
-    for (doc_id, text), (kept, gone) in zip(rows, brute_dedup(rows, gap)):
+def check_dedup(make_docs, rows):
+    docs = make_docs(rows).withColumn("row", F.lit(1)).withColumn("parts", F.lit(1)).withColumn("first", F.lit("x"))
+    out = {r["doc_id"]: r for r in line_dedup.dedup(docs).collect()}
+    for (doc_id, text), (kept, gone, words, longest) in zip(rows, brute_dedup(rows)):
         assert (out[doc_id]["text"] or "") == kept and [(r["start"], r["end"]) for r in out[doc_id]["removed"]] == gone
-        assert out[doc_id]["n_removed"] == len(gone)
-    assert out[3]["text"] is None
+        assert (out[doc_id]["n_removed"], out[doc_id]["n_removed_words"], out[doc_id]["longest_run"]) == (len(gone), words, longest)
+    return out
+
+
+def test_repeated_lines_and_paragraphs_go_with_their_offsets(make_docs):
+    line = "The quick brown fox, again."
+    rows = [
+        (1, "\n".join([line, "short", "é a unit of its own"])),
+        (2, "\n".join(["short", line.upper(), "new words come here now", line])),
+        (3, None),
+        (4, ""),
+        (5, line),
+        (6, "one two\nthree four\n\nlast words"),
+        (7, "\n--\none two three\nfour\n * \nlast words\n\nshort\nfresh"),
+        (8, "one two three four"),
+    ]
+    out = check_dedup(make_docs, rows)
+    assert out[3]["text"] is None and out[7]["longest_run"] == 7 and out[7]["text"] == "\n--\n * \n\nfresh" and out[8]["n_removed"] == 1
+
+
+@settings(max_examples=15)
+@given(st.lists(st.lists(st.sampled_from(["a", "A b", "b", "b c", "", "-", "c", "a b c"]), max_size=6), min_size=1, max_size=5))
+def test_any_lines(make_docs, texts):
+    check_dedup(make_docs, [(i, "\n".join(t)) for i, t in enumerate(texts)])
 
 
 def test_repeated_rows_keep_one_text(odd_docs, make_docs):
     rows = line_dedup.dedup(make_docs([(7, "one two three four"), (7, "one two three four"), (None, "one two three four")])).collect()
     assert sorted((r["doc_id"] or 0, r["n_removed"]) for r in rows) == [(0, 1), (7, 0), (7, 1)]
     assert line_dedup.dedup(odd_docs).count() == 7 and line_dedup.dedup(make_docs([])).count() == 0
+    few = line_dedup.dedup(make_docs([(1, "one two"), (2, "one two"), (3, "a b c"), (4, "a b c")]), least_words=3).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in few) == [(1, 0), (2, 0), (3, 0), (4, 1)]
 
 
 def test_licenses_in_other_spelling_and_layout(spark, make_docs):

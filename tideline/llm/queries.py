@@ -26,21 +26,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
     spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string")))
-    return kept.select("doc_id", "n_units", "n_removed", F.array_join(spans, ",").alias("removed"), F.md5("text").alias("kept_md5"))
+    counts = ["n_units", "n_removed", "n_removed_words", "longest_run"]
+    return kept.select("doc_id", *counts, F.array_join(spans, ",").alias("removed"), F.md5("text").alias("kept_md5"))
 
 
-OP2_SQL = f"""
+OP2_SQL = """
 WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-units AS (SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS part FROM parts),
-norms AS (SELECT *, trim(regexp_replace(lower(part), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS norm,
-          sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(part) - 1 AS pos FROM units),
-ranked AS (SELECT *, CASE WHEN norm <> '' AND length(norm) - length(replace(norm, ' ', '')) >= {line_dedup.LEAST_WORDS - 1}
-           THEN row_number() OVER (PARTITION BY norm ORDER BY doc_id, k) ELSE 1 END AS n FROM norms)
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (n > 1) AS n_removed,
+lines AS (SELECT doc_id, generate_subscripts(parts, 1) AS k, unnest(parts) AS part FROM parts),
+norms AS (SELECT *, trim(regexp_replace(lower(part), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS norm,
+          sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(part) - 1 AS pos FROM lines),
+held AS (SELECT *, length(norm) - length(replace(norm, ' ', '')) + 1 AS words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY k) AS place FROM norms WHERE norm <> ''),
+paragraphs AS (SELECT doc_id, min(k) AS first, max(k) AS last, string_agg(norm, ' ' ORDER BY k) AS norm
+               FROM held GROUP BY doc_id, k - place HAVING count(*) > 1),
+units AS (SELECT doc_id, k AS first, k AS last, norm FROM held UNION ALL SELECT * FROM paragraphs),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, first) AS n FROM units),
+gone AS (SELECT DISTINCT held.* FROM held JOIN ranked ON held.doc_id = ranked.doc_id AND k BETWEEN first AND last AND n > 1),
+runs AS (SELECT doc_id, sum(words) AS words FROM (
+         SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM gone) GROUP BY doc_id, run),
+longest AS (SELECT doc_id, max(words) AS longest FROM runs GROUP BY doc_id),
+whole AS (SELECT n.*, g.k IS NOT NULL AS out, coalesce(g.words, 0) AS words FROM norms n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.k = g.k)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (out) AS n_removed, CAST(sum(words) AS BIGINT) AS n_removed_words,
+       CAST(coalesce(any_value(longest), 0) AS BIGINT) AS longest_run,
        coalesce(string_agg(CAST(CAST(pos AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(pos + length(part) AS BIGINT) AS VARCHAR), ',' ORDER BY k)
-                FILTER (n > 1), '') AS removed,
-       md5(coalesce(string_agg(part, chr(10) ORDER BY k) FILTER (n = 1), '')) AS kept_md5
-FROM ranked GROUP BY doc_id
+                FILTER (out), '') AS removed,
+       md5(coalesce(string_agg(part, chr(10) ORDER BY k) FILTER (NOT out), '')) AS kept_md5
+FROM whole LEFT JOIN longest USING (doc_id) GROUP BY doc_id
 """
 
 
