@@ -6,14 +6,13 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.llm.files import file_system, qualified
 from tideline.llm.shared import written
 from tideline.session import scratch_dir
 
@@ -22,6 +21,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Bytes of an archive that one reading task owns, and bytes it reads at once.
 SPLIT_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20
+MOST_TASKS = 100_000
 # Compression effort, and the date that records without one carry.
 LEVEL, DATE = 4, "1970-01-01T00:00:00Z"
 CONTROL = re.compile(r"[\x00-\x20\x7f]")
@@ -75,18 +75,14 @@ def record(record_id: str, url: str | None, payload: bytes, digest: str, refers_
     return packer.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def file_system(location: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a location that every task can reach."""
-    parts = urlsplit(location)
-    return fs.FileSystem.from_uri(location if parts.scheme else f"file://{location}")
-
-
 def write(records: DataFrame, folder: str) -> DataFrame:
     """Write (record_id, url, payload binary, payload_digest, refers_to) as archives; a row per file: file, bytes, records.
 
     Each task writes one archive under a name of its own and reports it. A task that ran twice leaves a file
-    that no row names, so read the files of the returned (materialised) table and no others.
+    that no row names, so read the files of the returned (materialised) table and no others. A folder without
+    a scheme is one of Spark's default file system.
     """
+    folder = qualified(records.sparkSession, folder)
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, path = file_system(folder)
@@ -144,7 +140,7 @@ class Ranged:
         """The decoded gzip member at `at` and its end, or None if none that starts a WARC record is there.
 
         Its first bytes are decoded first, which refuses nearly all false magic; then the whole member with its
-        checksum, and the next member, or the end of the file, must follow."""
+        checksum, and the next member, or the end of the file, must follow, perhaps after zero bytes of padding."""
         packer, out, end = zlib.decompressobj(31), [], at
         try:
             while not packer.eof:
@@ -158,8 +154,20 @@ class Ranged:
         except zlib.error:
             return None
         body = b"".join(out)
-        follows = not self.need(end + 1) or (self.need(end + 3) and bytes(self.data[end - self.start : end - self.start + 3]) == MAGIC)
-        return (body, end) if body.startswith(b"WARC/") and follows else None
+        return (body, end) if body.startswith(b"WARC/") and self.begins(self.padded(end)) else None
+
+    def padded(self, at: int) -> int:
+        """The first position from `at` that holds no zero byte, or the end of the file."""
+        while self.need(at + 1):
+            some = bytes(self.data[at - self.start :])
+            at += len(some) - len(some.lstrip(b"\0"))
+            if some.strip(b"\0"):
+                break
+        return at
+
+    def begins(self, at: int) -> bool:
+        """Whether gzip magic or the end of the file is at a position."""
+        return not self.need(at + 1) or (self.need(at + 3) and bytes(self.data[at - self.start : at - self.start + 3]) == MAGIC)
 
 
 def parse(body: bytes) -> Iterator[dict]:
@@ -191,17 +199,20 @@ def parse(body: bytes) -> Iterator[dict]:
         }
 
 
-def read(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, most_tasks: int = MOST_TASKS) -> DataFrame:
     """Records of the archives named by the columns `file` and `bytes`, columns as in RECORD.
 
     Every file is cut into byte ranges that are dealt out to tasks. A task looks for gzip magic in its range,
     decodes the candidate member, and owns the records of each true member that starts inside the range, also
     if it ends beyond. Digest and size of a response are those of the payload read; those of a revisit come
-    from its headers. Empty files and an empty table give no rows.
+    from its headers. Empty files and an empty table give no rows. There are as many tasks as ranges, up to
+    `most_tasks`, which take several ranges each.
     """
     cuts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     ranges = files.select("file", cuts.alias("first"))
-    ranges = ranges.repartition(F.xxhash64("file", "first"))
+    count = files.agg(F.sum(F.greatest(F.ceil(F.col("bytes") / split_bytes), F.lit(1)))).first()[0]
+    # A number of partitions keeps adaptive execution from joining ranges whose rows are small.
+    ranges = ranges.repartition(max(1, min(int(count or 0), most_tasks)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
