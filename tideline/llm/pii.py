@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.llm.shared import slices
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 # Fixed patterns of the query's contract; possessive runs match the same spans without backtracking.
@@ -282,13 +284,13 @@ def find(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            texts = [t or "" for t in part.column(1).to_pylist()]
             base = [pattern_spans(t) for t in texts]
             more = added_spans(texts, base, field, threshold)
             every = [sorted(b + m, key=lambda s: (s[0], s[2])) for b, m in zip(base, more)]
             counts = [pa.array([sum(s[2] == k for s in b) for b in base], pa.int64()) for k in range(OTHER)]
-            columns = [batch.column(0), *counts, pa.array(map(rendered, base)), pa.array(map(rendered, every))]
+            columns = [part.column(0), *counts, pa.array(map(rendered, base)), pa.array(map(rendered, every))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select(doc_id, text).mapInArrow(scan, schema)
@@ -312,15 +314,15 @@ def redact(docs: DataFrame, field: Field, text: str = "text", n_chars: str | Non
     at = docs.columns.index(text)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
+        for part in (p for batch in batches for p in slices(batch, at)):
+            texts = part.column(at).to_pylist()
             whole = [t or "" for t in texts]
             base = [pattern_spans(t) for t in whole]
             more = added_spans(whole, base, field, threshold)
             new = [t and redacted(t, sorted(b + m)) for t, b, m in zip(texts, base, more)]
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            columns = list(part.columns)
+            columns[at] = pa.array(new, part.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
     out = docs.mapInArrow(replace, docs.schema)
     if n_chars in docs.columns:
