@@ -196,6 +196,7 @@ ORACLES = {
         count(*) FILTER (order_timestamp < (SELECT min(low) FROM f)) AS before_global_floor
         FROM ({EVENTS}) LEFT JOIN f USING (product_id)""",
     "fact_orders": FACT,
+    "fact_orders_incremental": FACT,
     "fact_orders_status": f"""SELECT e.order_id, e.order_item_id, v.order_status AS current_order_status
         FROM ({SOLD}) e LEFT JOIN (SELECT * FROM ({ORDER_VERSIONS}) WHERE valid_to = TIMESTAMP '9999-12-31') v
         ON e.order_id = v.order_id""",
@@ -210,6 +211,11 @@ ORACLES = {
     "dq_not_null": f"""SELECT * FROM (
         {" UNION ALL ".join(f"SELECT '{c}' AS rule, count(*) AS n_rows FROM ({WIDE}) WHERE {c} IS NULL"
             for c in ("order_id", "product_id", "store_id", "customer_id", "order_item_id"))}) WHERE n_rows > 0""",
+    "dq_observed": f"""SELECT * FROM (
+        {" UNION ALL ".join(f"SELECT '{c} is not null' AS rule, count(*) AS n_rows FROM ({WIDE}) WHERE {c} IS NULL"
+            for c in ("order_id", "product_id", "store_id", "customer_id", "order_item_id"))} UNION ALL
+        {" UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) AS n_rows FROM ({WIDE}) WHERE NOT ({r})"
+            for r in ("total_amount >= 1000", "quantity < 50", "store_id >= 0"))}) WHERE n_rows > 0""",
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "dq_relationship": """SELECT o_orderkey, count(*) AS n_rows FROM orders
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",

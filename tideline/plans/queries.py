@@ -12,12 +12,13 @@ from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
 from tideline.operators.latest import distinct_rows, latest_row
+from tideline.operators.observed import Watch
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, prepare, scd1, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
 from tideline.plans import standins as s
-from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with_current
+from tideline.plans.facts import ChangedLink, VersionLink, deliveries_fact, orders_fact, orders_fact_increment, with_current
 from tideline.plans.models import incremental_model
 from tideline.schemas import FEED_COLUMNS
 from tideline.session import configure, scratch_dir
@@ -33,6 +34,7 @@ RUN_2 = datetime(2024, 2, 2)
 FRESH_NOW = datetime(2024, 2, 5)
 FRESH_LIMIT = timedelta(hours=25)
 LATE_SPAN = timedelta(days=12)
+OBSERVED_RULES = ["total_amount >= 1000", "quantity < 50", "store_id >= 0"]
 
 QUERIES = {}
 
@@ -394,20 +396,23 @@ FACT_COLUMNS = [
 ]
 
 
-def orders_fact_of(t: Catalog) -> DataFrame:
+def fact_links(t: Catalog) -> list[VersionLink]:
+    """The dimensions of the fact as stored tables: those of the order first, then the product."""
     orders, customers, products, stores = stored(
         t, orders=s.order_versions, customers=s.customer_versions, products=s.product_versions, stores=s.store_versions
     )
+    return [
+        VersionLink("customer_scd_id", customers, {"customer_id": "customer_id"}),
+        VersionLink("store_scd_id", stores, {"store_id": "store_id"}),
+        VersionLink("order_scd_id", orders, {"order_id": "order_id"}),
+        VersionLink("product_scd_id", products, PRODUCT),
+    ]
+
+
+def orders_fact_of(t: Catalog, links: list[VersionLink] | None = None) -> DataFrame:
+    links = links or fact_links(t)
     return orders_fact(
-        s.order_headers(t), s.order_lines(t), "order_id", "order_timestamp",
-        [
-            VersionLink("customer_scd_id", customers, {"customer_id": "customer_id"}),
-            VersionLink("store_scd_id", stores, {"store_id": "store_id"}),
-            VersionLink("order_scd_id", orders, {"order_id": "order_id"}),
-        ],
-        [VersionLink("product_scd_id", products, PRODUCT)],
-        both_calendars(t),
-        FACT_COLUMNS,
+        s.order_headers(t), s.order_lines(t), "order_id", "order_timestamp", links[:3], links[3:], both_calendars(t), FACT_COLUMNS
     )
 
 
@@ -416,6 +421,33 @@ def fact_orders(t):
     return orders_fact_of(t)
 
 
+@query("fact_orders_incremental")
+def fact_orders_incremental(t):
+    """The fact kept over three loads: what was shipped and ordered before the cut, the rest, and late shipments."""
+    late = shipped_before_cut() & (F.col("l_returnflag") == "R")
+    ordered = F.col("o_orderdate") < literal(s.ORDERS_CUT)
+    loads = [(shipped_before_cut() & ~late, ordered), (~late, F.lit(True)), (F.lit(True), F.lit(True))]
+    month = (F.col("order_date_id") / 100).cast("int")
+    fact = StoredTable(t.spark, scratch_dir(t.spark, "fact"), "order_item_id", 4, month, "order_date_id")
+    before, shipped, known = None, F.lit(False), F.lit(False)
+    for lines, orders in loads:
+        now = Catalog(t.spark, {**t.entries, "lineitem": t["lineitem"].filter(lines), "orders": t["orders"].filter(orders)})
+        links = fact_links(now)
+        if before is None:
+            fact.overwrite(orders_fact_of(now, links))
+        else:
+            changed = [ChangedLink(link, old.versions) for link, old in zip(links, before)]
+            new_lines = t["lineitem"].filter(lines & ~shipped).select(s.line_id().alias("order_item_id"))
+            new_orders = t["orders"].filter(orders & ~known).select(F.col("o_orderkey").alias("order_id"))
+            rows = orders_fact_increment(
+                s.order_headers(now), s.order_lines(now), "order_id", "order_item_id", "order_timestamp", changed[:3], changed[3:],
+                both_calendars(now), FACT_COLUMNS, new_orders, new_lines,
+            )
+            fact.upsert(rows)
+        before, shipped, known = links, lines, orders
+    return fact.read()
+
+
 @query("fact_orders_status")
 def fact_orders_status(t):
     return with_current(
@@ -441,6 +473,14 @@ def dq_not_null(t):
     return quality.not_null(wide_table(t), ["order_id", "product_id", "store_id", "customer_id", "order_item_id"])
 
 
+@query("dq_observed")
+def dq_observed(t):
+    """Column rules of the wide table, counted while it is written."""
+    watch = Watch(["order_id", "product_id", "store_id", "customer_id", "order_item_id"], OBSERVED_RULES)
+    wide_table(t).transform(watch).write.parquet(scratch_dir(t.spark, "wide"))
+    return watch.violations(t.spark)
+
+
 @query("dq_unique")
 def dq_unique(t):
     return quality.unique(t["lineitem"], s.LINE_KEY)
