@@ -40,7 +40,7 @@ STAGES = [
     ("pii_redaction", redaction),
     ("packing", pack_sequences),
 ]
-# Learned rules, fingerprints and tokenizers have no SQL form; the stages are tested against brute force.
+# Learned rules, fingerprints and tokenizers have no SQL form; the operators' tests compare them with brute force.
 ORACLE_SQL = None
 
 
