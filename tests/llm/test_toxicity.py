@@ -58,3 +58,11 @@ def test_held_out_documents_are_told_apart(spark, make_docs):
     assert out[5000]["predicted"] == out[5001]["predicted"] == 0 and out[5000]["score"] == out[5001]["score"]
     assert tx.score(docs.limit(0), labels.limit(0)).count() == 0
     assert {r["predicted"] for r in tx.score(docs, labels.limit(0)).collect()} == {0}
+
+
+def test_ids_may_have_another_name(spark, make_docs):
+    rows = [(i, "vile awful words here" if i % 2 else "plain good words here") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    own = tx.score(make_docs(rows), labels).select("doc_id", "score").collect()
+    named = tx.score(make_docs(rows).withColumnRenamed("doc_id", "id"), labels.withColumnRenamed("doc_id", "id"), doc_id="id")
+    assert sorted(map(tuple, named.select("doc_id", "score").collect())) == sorted(map(tuple, own))

@@ -274,7 +274,7 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     the text alone. Null and empty texts have no words and the score of a document without evidence. Repeated
     rows get equal scores; columns besides id and text are not read. Without usable labels scores stay low.
     """
-    sample = written(labelled_sample(labels), "toxicity-labels")
+    sample = written(labelled_sample(labels, doc_id), "toxicity-labels")
     lexicon = learn_terms(docs, sample, doc_id, text)
     scanned = written(scan(docs, lexicon, doc_id, text), "scanned")
     fold = held_out(F.col("doc_id"))
