@@ -83,3 +83,59 @@ def test_find_and_redact_odd_rows(odd_docs, make_docs):
     out = {r["doc_id"]: r for r in pii.redact(docs, fitted()).collect()}
     assert out[9]["text"] == "write to <EMAIL> now" and out[9]["n_chars"] == 20 and out[1]["text"] is None
     assert pii.find(make_docs([]), pii.fit_sample(make_docs([]))).count() == 0
+
+
+def test_altered_spans_of_other_documents_are_found():
+    def texts(numbers):
+        return [
+            f"Chapter {i} of 1999, part {i}.0: call +1 ({200 + i}) 555-{1000 + 7 * i}, mail p{i}@mail{i % 9}.example.com, log on at "
+            f"10.{i % 250}.{i % 7}.9, pay with 4{1000 + i}0000000000{i % 10} or {CARD_NUMBER} by 2024-01-{i % 28 + 1:02}"
+            for i in numbers
+        ]
+
+    field = pii.fit(texts(range(100)))
+    found = wrong = total = 0
+    for text in texts(range(500, 600)):
+        copy, moved = pii.altered(text, pii.pattern_spans(text))
+        base = pii.pattern_spans(copy)
+        added = pii.added_spans([copy], [base], field)[0]
+        total += len(moved)
+        found += sum(any(k == c and x < b and y > a for x, y, c in added + base) for a, b, k in moved)
+        wrong += sum(not any(k == c and x < b and y > a for x, y, c in moved) for a, b, k in added)
+    assert total >= 400 and found >= 0.95 * total and wrong <= 0.02 * total
+
+
+def test_altered_copies_keep_the_rest_of_the_text():
+    text = "x a@b.co y 1.2.3.4 z +1 (386) 555-3733 or " + CARD_NUMBER
+    spans = pii.pattern_spans(text)
+    copy, moved = pii.altered(text, spans)
+    assert [k for _, _, k in moved] == [k for _, _, k in spans] == [0, 1, 3, 2]
+    gaps = lambda t, found: [t[a:b] for a, b in zip([0] + [s[1] for s in found], [s[0] for s in found] + [len(t)])]
+    assert gaps(copy, moved) == gaps(text, spans) and not pii.pattern_spans(copy)
+    assert pii.altered("", []) == ("", []) and pii.altered("none 12", []) == ("none 12", [])
+
+
+def test_parts_of_a_graph_are_bounded_and_keep_inner_links():
+    g = pii.graph(["12 345 " * 50], [[]])
+    part = pii.part_of(g, 90, 30)
+    assert len(part.on) == len(part.place) == len(part.label) == 30
+    assert part.links and all(0 <= a < b < 30 for a, b, _ in part.links)
+    assert pii.part_of(g, 7, 100) is g
+
+
+def test_query_matches_each_text_alone(make_docs):
+    """Slices, batches and partitions play no part: every row has what its text alone gives."""
+    texts = [f"in {1990 + i} call +1 ({200 + i}) 555-{1000 + i}, p{i}@example.com, 10.0.{i}.7 or {CARD_NUMBER}" for i in range(60)]
+    texts += ["or 234.555.1007, p7(at)example.com", "", None, "no digits", CARD_NUMBER + " " + CARD_NUMBER, "9" * 300_000 + " a@b.co " + "1.2.3.4 " * 20_000]
+    docs = make_docs(list(enumerate(texts)))
+    docs = docs.unionByName(docs).repartition(5)
+    field = pii.fit_sample(docs)
+    rows = pii.find(docs, field).collect()
+    assert len(rows) == 2 * len(texts)
+    for row in rows:
+        text = texts[row["doc_id"]] or ""
+        base = brute(text) if len(text) < 10_000 else pii.pattern_spans(text)
+        added = pii.added_spans([text], [base], field)[0]
+        assert row["base"] == pii.rendered(base) and [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[2] == i for s in base) for i in range(4)]
+        assert row["spans"] == pii.rendered(sorted(base + added, key=lambda s: (s[0], s[2])))
+    assert any(row["spans"] != row["base"] for row in rows)

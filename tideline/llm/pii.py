@@ -1,6 +1,7 @@
 """Personal data: pattern spans, and a skip-chain conditional random field that adds what they miss."""
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,16 +22,21 @@ ADDRESS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGITS = re.compile(r"[^0-9]+")
-MARKED = re.compile(r"[0-9@]")
-TOKEN = re.compile(r"[0-9@][^\x20\x09-\x0D]*")
+MARKED = re.compile(r"[0-9@]|[(\[]at[)\]]")
+TOKEN = re.compile(r"(?:[0-9@]|[(\[]at[)\]])[^\x20\x09-\x0D]*")
+# Ways to write out the signs of an address.
+SIGN = re.compile(r"[(\[](?:at|dot|\.|@)[)\]]")
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 SPACE = frozenset("\x20\t\n\x0b\x0c\r")
 
-# Documents and tokens from which the field is fitted, at most.
-FIT_DOCS, FIT_TOKENS = 2_000, 20_000
+# Documents from which the field is fitted, tokens of one of them, and tokens of all, at most.
+FIT_DOCS, FIT_DOC_TOKENS, FIT_TOKENS = 2_000, 400, 40_000
+# Texts in which a pattern is likely to match; half of the documents of the fit are of this sort.
+LIKELY = r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9]|[0-9](\.[0-9]+){3}|([0-9][ -]?){14}"
 # Marginal probability from which a token outside the pattern spans is marked.
 THRESHOLD = 0.9
 ROUNDS, DAMPING = 12, 0.5
+MOMENTUM = 0.8
 
 Span = tuple[int, int, int]  # start, end, kind
 
@@ -98,14 +104,14 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return out
 
 
-FEATURES = 22
+FEATURES = 38
 
 
 def features(text: str, a: int, b: int) -> list[int]:
     """Indexes of the features a token has: shape of its digits and signs, and signs beside it."""
     token = text[a:b]
     digits = NOT_DIGITS.sub("", token)
-    n, letters = len(digits), sum(c.isalpha() for c in token[:64])
+    n, letters = len(digits), sum(c.isalpha() for c in token)
     on = [0, 1 + (n > 0) + (n > 3) + (n > 6) + (n > 9) + (n > 13) + (n > 15) + (n > 19)]
     on += [9] * ("@" in token) + [10] * (letters == 0) + [11] * (0 < letters < 3) + [12] * (letters >= 3)
     on += [13] * (13 < n < 20 and luhn(digits)) + [14] * token.startswith("+") + [15] * (text[a - 1 : a] == "(")
@@ -113,6 +119,15 @@ def features(text: str, a: int, b: int) -> list[int]:
     on += [16] * (len(parts) == 4 and all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts))
     on += [17] * (len(parts) == 4) + [18] * ("-" in token) + [19] * ("@" in token and DOMAIN.search(token) is not None)
     on += [20] * ("=" in text[max(0, a - 4) : a]) + [21] * (text[max(0, a - 3) : a].rstrip("(").endswith("+1 "))
+    # Numbers cut by signs: how many there are, how long they are, and which signs cut them.
+    runs = re.findall("[0-9]+", token)
+    sizes, signs = [len(r) for r in runs], NOT_DIGITS.findall(token)
+    on += [22 + min(len(runs), 5)] if letters < 8 and runs else [22]
+    on += [28] * (sizes == [4, 4, 4, 4]) + [29] * (sizes[-2:] == [3, 4] and letters == 0) + [30] * (sizes == [3])
+    on += [31] * (len(runs) == 4 and all(len(r) < 4 and int(r) < 256 for r in runs))
+    on += [32] * (SIGN.search(token) is not None) + [33] * (SIGN.search(token) is not None and letters > 7)
+    on += [34] * (len(set(signs)) == 1 and len(signs) > 1 and letters == 0) + [35] * (text[b : b + 1] == ")")
+    on += [36] * (n > 0 and text[b : b + 2] == " (") + [37] * (text[max(0, a - 2) : a] == ") ")
     return on
 
 
@@ -147,16 +162,21 @@ def graph(texts: list[str], spans: list[list[Span]]) -> Graph:
         if not MARKED.search(text):
             continue
         last: dict[str, int] = {}
-        before, s = None, 0
+        before = None
+        # Spans of one kind do not overlap, so a place in each kind's list is enough.
+        of_kind = [[s for s in spans[d] if s[2] == k] for k in range(OTHER)]
+        at = [0] * OTHER
         for a, b in tokens(text):
             i = len(g.place)
-            while s < len(spans[d]) and spans[d][s][1] <= a:
-                s += 1
-            # Spans of different kinds may overlap: look a few further for one that holds the token.
-            inside = [k for x, y, k in spans[d][s : s + 8] if x < b and y > a]
+            inside = []
+            for k, own in enumerate(of_kind):
+                while at[k] < len(own) and own[at[k]][1] <= a:
+                    at[k] += 1
+                if at[k] < len(own) and own[at[k]][0] < b:
+                    inside.append((own[at[k]][0], k))
             g.on.append(features(text, a, b))
             g.place.append((d, a, b))
-            g.label.append(inside[0] if inside else OTHER)
+            g.label.append(min(inside)[1] if inside else OTHER)
             if before is not None and not text[before:a].strip(EDGES + " ") and a - before < 4:
                 g.links.append((i - 1, i, 0))
             linked = set()
@@ -212,42 +232,144 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(texts: list[str], limit: int = FIT_TOKENS, rounds: int = 400, ridge: float = 1e-3) -> Field:
-    """Fit the field to the pattern spans of some texts.
+def altered(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its spans written so that the patterns refuse them, and where these now are.
 
-    Feature weights by multinomial logistic regression on the tokens' labels, link weights by how much
-    more often than by chance linked tokens have a pair of labels. No tokens give weights of zero, with
-    which nothing is marked.
-    """
-    g = graph(texts, [pattern_spans(t) for t in texts])
-    x = np.zeros((len(g.on), FEATURES))
+    A span's own hash chooses among written-out signs, other separators and a missing plus sign; equal spans are
+    altered alike. Spans that overlap an earlier one are left out of the choice but stay labelled by it."""
+    out, moved, at, size = [], [], 0, 0
+    for a, b, k in spans:
+        if a < at:
+            continue
+        own = text[a:b]
+        way = zlib.crc32(own.encode("utf-8", "surrogatepass")) % 4
+        if k == 0:
+            dot = (".", ".", "(dot)", "[dot]")[way]
+            local, _, domain = own.partition("@")
+            new = local + ("(at)", "[at]", "(at)", "[at]")[way] + domain.replace(".", dot)
+        elif k == 1:
+            new = own.replace(".", ("[.]", "(dot)", "-", "[dot]")[way])
+        elif k == 2:
+            digits = NOT_DIGITS.sub("", own)
+            new = "./_:"[way].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        else:
+            new = own[1:] if way == 0 else re.sub("[^0-9]+", ("", "-", ".", "/")[way], own[1:])
+        out += [text[at:a], new]
+        size += a - at
+        moved.append((size, size + len(new), k))
+        size, at = size + len(new), b
+    return "".join(out) + text[at:], moved
+
+
+def part_of(g: Graph, least: int, limit: int) -> Graph:
+    """At most `limit` tokens of a graph from place `least % len` on, round its end, with the links among them."""
+    n = len(g.on)
+    if n <= limit:
+        return g
+    chosen = sorted((least + i) % n for i in range(limit))
+    new = {old: i for i, old in enumerate(chosen)}
+    links = [(new[a], new[b], t) for a, b, t in g.links if a in new and b in new]
+    return Graph([g.on[i] for i in chosen], [g.place[i] for i in chosen], [g.label[i] for i in chosen], links)
+
+
+def samples(text: str, limit: int = FIT_DOC_TOKENS) -> list[Graph]:
+    """What the field learns from a text: its tokens with the labels of the patterns, and those of its altered copy,
+    at most `limit` of each, from a place that the text's hash chooses."""
+    spans = pattern_spans(text)
+    copy, moved = altered(text, spans)
+    pairs = [(text, spans), (copy, moved)] if moved else [(text, spans)]
+    return [part_of(graph([t], [s]), zlib.crc32(t.encode("utf-8", "surrogatepass")), limit) for t, s in pairs]
+
+
+def joined(graphs: list[Graph]) -> Graph:
+    g = Graph([], [], [], [])
+    for d, one in enumerate(graphs):
+        n = len(g.on)
+        g.on += one.on
+        g.place += [(d, a, b) for _, a, b in one.place]
+        g.label += one.label
+        g.links += [(a + n, b + n, t) for a, b, t in one.links]
+    return g
+
+
+def fit_graph(g: Graph, rounds: int = 400, ridge: float = 3e-4) -> Field:
+    """Feature and link weights of highest composite likelihood: each label given the labels its token is linked to, and
+    each label given its features alone, without which the features would leave all to labels that are not known later.
+
+    Both sorts are fitted together, with a ridge that falls for link types with few links. No tokens give feature weights of zero, with which nothing is marked. Link
+    weights stay within three, so that messages around a cycle settle."""
+    n, labels = len(g.on), OTHER + 1
+    w, pair = np.zeros((FEATURES, labels)), np.zeros((3, labels, labels))
+    if not n:
+        return Field(w, pair)
+    x = np.zeros((n, FEATURES), np.float32)
     for i, on in enumerate(g.on):
-        x[i, on] = 1.0
-    x, y = x[:limit], np.array(g.label[:limit], int)
-    w = np.zeros((FEATURES, OTHER + 1))
-    if len(x):
-        goal = np.eye(OTHER + 1)[y]
-        for _ in range(rounds):
-            w -= 2.0 * (x.T @ (_softmax(x @ w) - goal) / len(x) + ridge * w)
-    pair = np.zeros((3, OTHER + 1, OTHER + 1))
-    for kind in range(3):
-        # A pseudo-count on equal labels: without evidence, equal tokens lean to equal labels.
-        joint = np.full((OTHER + 1, OTHER + 1), 0.5) + np.eye(OTHER + 1) * (2.0 if kind else 0.0)
-        for a, b, t in g.links:
-            if t == kind and b < limit:
-                joint[g.label[a], g.label[b]] += 1
-        joint /= joint.sum()
-        pair[kind] = np.clip(np.log(joint / np.outer(joint.sum(axis=1), joint.sum(axis=0))), -3, 3)
+        x[i, on] = 1
+    label = np.array(g.label)
+    goal = np.eye(labels, dtype=np.float32)[label]
+    # Per link type: how many linked tokens of each label come later and earlier.
+    after, before = np.zeros((3, n, labels), np.float32), np.zeros((3, n, labels), np.float32)
+    if g.links:
+        a, b, t = np.array(g.links).T
+        np.add.at(after, (t, a, label[b]), 1)
+        np.add.at(before, (t, b, label[a]), 1)
+    # Steps of a link type are scaled by its links, and by its most at a token, which keeps them stable on hubs.
+    linked = (after + before).sum(axis=2)
+    scale = np.maximum(1, linked.max(axis=1)) * np.maximum(1, (linked > 0).sum(axis=1))
+    w_step, pair_step = np.zeros_like(w), np.zeros_like(pair)
+    for _ in range(rounds):
+        score = x @ w + sum(after[k] @ pair[k].T + before[k] @ pair[k] for k in range(3))
+        miss, alone = _softmax(score) - goal, _softmax(x @ w) - goal
+        w_step = MOMENTUM * w_step - x.T @ (miss + alone) / n - ridge * w
+        slope = np.stack([(miss.T @ after[k] + before[k].T @ miss) / scale[k] for k in range(3)])
+        pair_step = MOMENTUM * pair_step - slope - ridge * pair
+        w, pair = w + w_step, np.clip(pair + pair_step, -3, 3)
     return Field(w, pair)
 
 
-def fit_sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = FIT_DOCS) -> Field:
-    """Fit the field on at most `rows` documents that hold a digit or @, those least by a hash of the id."""
+def fit(texts: list[str], limit: int = FIT_TOKENS) -> Field:
+    """Fit the field to some texts, up to the text with which `limit` tokens are reached."""
+    chosen, n = [], 0
+    for text in texts:
+        for g in samples(text):
+            chosen.append(g)
+            n += len(g.on)
+        if n >= limit:
+            break
+    return fit_graph(joined(chosen))
+
+
+def fit_sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = FIT_DOCS, limit: int = FIT_TOKENS) -> Field:
+    """Fit the field on at most `rows` documents with a digit or @, half of them such that a pattern is likely to match.
+
+    Documents are those least by a hash of the id; equal rows count once each. Features and links are taken in the
+    tasks, at most FIT_DOC_TOKENS tokens from a text and its altered copy, so no text reaches the driver; it stops
+    reading at `limit` tokens. Null and empty texts, and empty tables, give nothing to learn from.
+    """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    least = own.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(rows).distinct()
-    # Ids may repeat, so the rows are limited again; long documents give what their first tokens tell.
-    chosen = own.join(F.broadcast(least), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rows)
-    return fit([row["text"] for row in chosen.select("text").toLocalIterator()])
+    order = [F.xxhash64("doc_id"), F.xxhash64("text")]
+    marked = own.withColumn("likely", F.col("text").rlike(LIKELY)).select("doc_id", "likely", *[h.alias(f"h{i}") for i, h in enumerate(order)])
+    ranked = [marked.filter(F.col("likely") == flag).orderBy("h0", "h1").limit(rows // 2) for flag in (True, False)]
+    least = ranked[0].unionByName(ranked[1]).select("h0", "h1").distinct()
+    # Rows may repeat and are then taken together; the driver stops at the limit of tokens.
+    hashed = own.select("text", *[h.alias(f"h{i}") for i, h in enumerate(order)])
+    chosen = hashed.join(F.broadcast(least), ["h0", "h1"]).orderBy("h0", "h1").limit(rows).select("text")
+    schema = "features array<array<int>>, label array<int>, links array<array<int>>"
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.list_(pa.list_(pa.int32())), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
+        for part in (p for batch in batches for p in slices(batch, 0)):
+            found = [g for t in part.column(0).to_pylist() for g in samples(t or "")]
+            columns = [[g.on for g in found], [g.label for g in found], [g.links for g in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["features", "label", "links"])
+
+    graphs, n = [], 0
+    for row in chosen.mapInArrow(extract, schema).toLocalIterator():
+        graphs.append(Graph(row["features"], [(0, 0, 0)] * len(row["label"]), row["label"], [tuple(x) for x in row["links"]]))
+        n += len(row["label"])
+        if n >= limit:
+            break
+    return fit_graph(joined(graphs))
 
 
 def added_spans(texts: list[str], spans: list[list[Span]], field: Field, threshold: float = THRESHOLD) -> list[list[Span]]:
@@ -263,7 +385,7 @@ def added_spans(texts: list[str], spans: list[list[Span]], field: Field, thresho
     for i in np.flatnonzero(marked):
         d, a, b = g.place[i]
         own = added[d]
-        if i and marked[i - 1] and own and own[-1][2] == best[i] and a - own[-1][1] < 3 and texts[d][own[-1][1] : a].isspace():
+        if i and marked[i - 1] and own and own[-1][2] == best[i] and a - own[-1][1] < 4 and not texts[d][own[-1][1] : a].strip(" ()"):
             own[-1] = (own[-1][0], b, int(best[i]))
         else:
             own.append((a, b, int(best[i])))
