@@ -112,7 +112,8 @@ def features(text: str, a: int, b: int) -> list[int]:
     token = text[a:b]
     digits = NOT_DIGITS.sub("", token)
     n, letters = len(digits), sum(c.isalpha() for c in token)
-    on = [0, 1 + (n > 0) + (n > 3) + (n > 6) + (n > 9) + (n > 13) + (n > 15) + (n > 19)]
+    # How many digits there are tells something of numbers only, not of names that hold some.
+    on = [0] + [1 + (n > 0) + (n > 3) + (n > 6) + (n > 9) + (n > 13) + (n > 15) + (n > 19)] * (letters < 3)
     on += [9] * ("@" in token) + [10] * (letters == 0) + [11] * (0 < letters < 3) + [12] * (letters >= 3)
     on += [13] * (13 < n < 20 and luhn(digits)) + [14] * token.startswith("+") + [15] * (text[a - 1 : a] == "(")
     parts = token.split(".")
