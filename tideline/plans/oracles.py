@@ -157,6 +157,7 @@ ORACLES = {
             SELECT (l_orderkey, l_linenumber) FROM older)""",
     "distinct_rows": "SELECT DISTINCT o_custkey, o_orderpriority FROM orders",
     "obt": WIDE,
+    "obt_incremental": WIDE,
     "dim_date": CALENDAR,
     "dim_supplier": "SELECT s_suppkey AS supplier_key, s_suppkey AS supplier_id, s_name AS supplier_name FROM supplier "
     "WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)",

@@ -17,6 +17,7 @@ from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_
 from tideline.operators.scd import as_of, prepare, scd1, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
+from tideline.operators.wide_delta import changed_rows, replace_anchors, wide_increment
 from tideline.plans import standins as s
 from tideline.plans.facts import ChangedLink, VersionLink, deliveries_fact, orders_fact, orders_fact_increment, with_current
 from tideline.plans.models import incremental_model
@@ -250,9 +251,12 @@ def silver_lines(t: Catalog) -> DataFrame:
     return t["lines"]
 
 
+def customer_name() -> dict:
+    return {"customer_name": full_name("customer_first_name", "customer_last_name")}
+
+
 def wide_table(t: Catalog, verify: bool = False) -> DataFrame:
-    derived = {"customer_name": full_name("customer_first_name", "customer_last_name")}
-    return build_wide(s.wide_inputs(t, silver_lines(t)), s.WIDE, derived, verify)
+    return build_wide(s.wide_inputs(t, silver_lines(t)), s.WIDE, customer_name(), verify)
 
 
 @query("obt")
@@ -260,6 +264,41 @@ def obt(t):
     return wide_table(t, verify=True)
 
 
+def earlier_states(t: Catalog) -> list[dict[str, DataFrame]]:
+    """The inputs of the wide table as they were before two loads, and as they are now.
+
+    First orders from the cut on are missing, late lines too, some lines are there that go later, and customers, parts and
+    nations have other values; then only amounts and nations differ.
+    """
+    now = s.wide_inputs(t, silver_lines(t))
+    lines = now["lines"]
+    gone = lines.filter("quantity < 3").withColumn("line_id", F.col("line_id") + 50)
+    more = lines.withColumn("quantity", F.when(F.col("line_amount") > 50_000, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    nation = now["nation"].withColumn("n_name", F.when(F.col("n_regionkey") == 0, F.lower("n_name")).otherwise(F.col("n_name")))
+    moved = F.when(F.col("c_acctbal") < 0, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
+    first = {
+        "orders": now["orders"].filter(F.col("o_orderdate") < literal(s.ORDERS_CUT)).withColumn("o_orderstatus", F.lit("O")),
+        "lines": more.filter(F.col("l_shipdate") < literal(s.ORDERS_CUT)).unionByName(gone),
+        "customer": now["customer"].withColumn("c_nationkey", moved.cast(now["customer"].schema["c_nationkey"].dataType)),
+        "part": now["part"].withColumn("p_brand", F.when(F.col("p_size") > 40, "old").otherwise(F.col("p_brand"))),
+        "nation": nation,
+    }
+    return [first, {**now, "lines": more, "nation": nation}, now]
+
+
+@query("obt_incremental")
+def obt_incremental(t):
+    """The wide table kept over two loads with changes in every input, lines that come and lines that go."""
+    states = earlier_states(t)
+    (wide,) = stored(t, wide=lambda _: build_wide(states[0], s.WIDE, customer_name(), verify=False))
+    for before, after in zip(states, states[1:]):
+        changes = {name: changed_rows(before[name], after[name]) for name in after if after[name] is not before[name]}
+        touched, rows = wide_increment(after, changes, s.WIDE, ["o_orderkey"], customer_name())
+        kept = replace_anchors(wide, touched, rows, s.WIDE, ["o_orderkey"])
+        (wide,) = stored(t, wide=lambda _: kept)
+    return wide
+
+
 # --- dimensions ----------------------------------------------------------------------------------
 
 
