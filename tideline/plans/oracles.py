@@ -174,6 +174,15 @@ ORACLES = {
             "user_id", "ts", ["event_type", "value"],
         )
     ),
+    "scd2_late": shown(EVENT_VERSIONS),
+    "snowflake_timeline": f"""WITH e AS ({STAFF_VERSIONS}), s AS ({STORE_VERSIONS}),
+        pieces AS (SELECT e.*, s.n_orders, s.scd_id AS store_scd_id, greatest(e.valid_from, s.valid_from) AS lo, least(e.valid_to, s.valid_to) AS hi
+            FROM e JOIN s ON e.store_id = s.store_id AND s.valid_from < e.valid_to AND s.valid_to > e.valid_from
+            UNION ALL SELECT e.*, NULL, NULL, e.valid_from, least(e.valid_to, coalesce(lo, e.valid_to))
+            FROM e LEFT JOIN (SELECT store_id, min(valid_from) AS lo FROM s GROUP BY 1) f ON e.store_id = f.store_id
+            WHERE lo IS NULL OR e.valid_from < lo)
+        SELECT employee_id, store_id, employee_name, n_lines, scd_id AS employee_scd_id, n_orders, store_scd_id, lo AS valid_from,
+            CAST(hi AS VARCHAR) AS valid_to FROM pieces""",
     "dim_current": f"SELECT scd_id, product_id, price FROM ({PRODUCT_VERSIONS}) WHERE valid_to = TIMESTAMP '9999-12-31'",
     "dim_asof": shown(
         f"SELECT * FROM ({CUSTOMER_VERSIONS}) WHERE valid_from <= TIMESTAMP '1998-06-01' AND valid_to > TIMESTAMP '1998-06-01'"

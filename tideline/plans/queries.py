@@ -15,6 +15,7 @@ from tideline.operators.latest import distinct_rows, latest_row
 from tideline.operators.observed import Watch
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, prepare, scd1, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
+from tideline.operators.timeline import scd2_late, snowflake_timeline
 from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
 from tideline.operators.wide_delta import changed_rows, replace_anchors, wide_increment
@@ -349,6 +350,18 @@ def apply_snapshots(t):
     return versions_out(dim.read())
 
 
+@query("scd2_late")
+def late_changes(t):
+    """The changes in three batches, the oldest last and twice; the first makes the dimension."""
+    changes, recent = s.event_changes(t), F.col("ts") >= literal(s.LATE_CUT)
+    click = F.col("event_type") == "click"
+    (dim,) = stored(t, dim=lambda _: scd2_rebuild(changes.filter(recent & ~click), "user_id", "ts"))
+    for batch in (click, ~recent, ~recent):
+        merged = scd2_late(dim, changes.filter(batch), "user_id", "ts")
+        (dim,) = stored(t, dim=lambda _: merged)
+    return versions_out(dim)
+
+
 @query("dim_current")
 def dim_current(t):
     return scd2_open(s.product_changes(t), "product_id", "changed_at").select("scd_id", "product_id", "price")
@@ -366,6 +379,13 @@ def snowflake_asof(t):
     return snowflake_as_of(staff, stores, "store_id", s.AS_OF_ORDERS)
 
 
+@query("snowflake_timeline")
+def staff_timeline(t):
+    staff, stores = stored(t, staff=lambda c: scd2_rebuild(s.staff_changes(c), "employee_id", "changed_at"), stores=s.store_versions)
+    staff, stores = staff.withColumnRenamed("scd_id", "employee_scd_id"), stores.withColumnRenamed("scd_id", "store_scd_id")
+    return versions_out(snowflake_timeline(staff, stores, "store_id", "employee_id"))
+
+
 @query("version_floor")
 def floors(t):
     return version_floor(s.product_versions(t), "product_id")
