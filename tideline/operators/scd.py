@@ -72,12 +72,15 @@ def _rebuild_sliced(changes: DataFrame, key: list[str], updated_at: str, hot: di
     in_slice = slice_column(changes, key, updated_at, hot)
     closed = _close(single.withColumn("_slice", in_slice), [*key, "_slice"], key, updated_at)
     # The last version of a slice ends where the next slice of its key begins: one row per hot key and
-    # slice, joined on the partitioning the window already has.
+    # slice, few enough for Spark to send to every task. Null keys are a key here, as they are for the window.
     cut = changes.filter(is_hot(key, hot)).withColumn("_slice", in_slice)
     starts = cut.groupBy(*key, "_slice").agg(F.min(updated_at).alias("_start"))
     following = F.lead("_start").over(Window.partitionBy(*key).orderBy("_slice"))
-    edges = starts.select(*key, "_slice", following.alias("_following"))
-    joined = closed.join(edges, [*key, "_slice"], "left")
+    edges = starts.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("_slice").alias("_at_slice"), following.alias("_following"))
+    same = F.col("_slice") == F.col("_at_slice")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = closed.join(edges, same, "left").drop(*[f"_{k}" for k in key])
     return _versions(joined, key, updated_at, F.coalesce("_next", "_following"))
 
 
