@@ -132,10 +132,12 @@ ORACLES = {
     "feed_stream": CLEAN_FEED,
     "stream_dedup": "SELECT * FROM events",
     "stream_dedup_window": "SELECT * FROM events",
+    "stream_dedup_state": "SELECT * FROM events",
     "late_rows": "SELECT * FROM events",
     "extract_since": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
         ORDER BY l_shipdate DESC, {LINE_TIES.replace("l_quantity", "l_linenumber DESC, l_quantity")}) AS rn
         FROM lineitem WHERE l_shipdate > TIMESTAMP '2000-01-01') WHERE rn = 1""",
+    "extract_stream": latest_lines(),
     "insert_if_absent": f"""WITH a AS ({latest_lines(CUT)}), b AS ({latest_lines()})
         SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (
             SELECT 1 FROM a WHERE a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber)""",

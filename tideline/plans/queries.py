@@ -25,11 +25,12 @@ from tideline.plans.models import incremental_model
 from tideline.schemas import FEED_COLUMNS
 from tideline.session import configure, scratch_dir
 from tideline.sources.catalog import Catalog, table_counts
+from tideline.sources.cursor import cursor_stream
 from tideline.sources.dimension import DimensionTable
 from tideline.sources.extract import extract_since
 from tideline.sources.feed import clean_feed, read_feed, rejected_feed, stream_feed
 from tideline.sources.store import StoredTable
-from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates
+from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates, suppress_repeats
 
 RUN_1 = datetime(2024, 2, 1)
 RUN_2 = datetime(2024, 2, 2)
@@ -148,6 +149,19 @@ def stream_dedup_window(t):
     return t.spark.read.schema(t["events"].schema).parquet(f"{root}/out")
 
 
+@query("stream_dedup_state")
+def stream_dedup_state(t):
+    """Every event delivered three times: again at once, where state drops it, and after its key was forgotten, where the merge does."""
+    root = scratch_dir(t.spark, "forgotten")
+    target = store(t, "events", "event_id")
+    for deliveries in (2, 1):
+        for _ in range(deliveries):
+            t["events"].write.mode("append").parquet(f"{root}/feed")
+        stream = suppress_repeats(stream_events(t, f"{root}/feed"), "event_id", "0 seconds")
+        run_to_end(merge_stream(stream, [Sink(target, "ts", insert_only=True)], f"{root}/checkpoint"))
+    return target.read()
+
+
 @query("late_rows")
 def late_rows(t):
     """Clicks from the cut on arrive after all other events; the lookback reaches back to the cut and no further."""
@@ -171,6 +185,18 @@ def shipped_before_cut():
     return F.col("l_shipdate") < literal(s.ORDERS_CUT)
 
 
+@query("extract_stream")
+def extract_stream(t):
+    """Lines shipped before the cut, then the rest: each run takes the rows above the cursor of the one before."""
+    root = scratch_dir(t.spark, "extract")
+    target = store(t, "lines", s.LINE_KEY)
+    for load in (shipped_before_cut(), ~shipped_before_cut()):
+        t["lineitem"].filter(load).write.mode("append").parquet(f"{root}/source")
+        stream = cursor_stream(t.spark, f"{root}/source", "l_shipdate")
+        run_to_end(merge_stream(stream, [Sink(target, "l_shipdate")], f"{root}/checkpoint"))
+    return target.read()
+
+
 @query("insert_if_absent")
 def insert_if_absent(t):
     target = store(t, "loaded", s.LINE_KEY)

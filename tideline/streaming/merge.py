@@ -10,6 +10,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tideline.operators.latest import Keys, as_list
 from tideline.sources.store import StoredTable
 
+ARRIVAL = "_arrived"
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -53,3 +55,23 @@ def suppress_duplicates(stream: DataFrame, key: Keys, event_time: str, delay: st
     """
     stamped = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return stamped.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(as_list(key))
+
+
+def suppress_repeats(stream: DataFrame, key: Keys, delay: str) -> DataFrame:
+    """Drop repeats delivered within `delay` of each other, whatever their event time; no row counts as late.
+
+    The watermark follows the arrival of rows, which is the time of their micro-batch, so state holds the keys that
+    arrived within the delay and nothing is dropped for being old. A repeat that arrives after its key was forgotten
+    passes again; the keyed merge behind it (`Sink.insert_only`) is what drops it, so together they are exact. Rows with
+    a null in the key are compared like any other; of different rows with one key the first to arrive passes.
+    """
+    keys = as_list(key)
+    if ARRIVAL in stream.columns:
+        raise ValueError(f"the stream has a column {ARRIVAL}, which is reserved")
+    arrived = stream.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(ARRIVAL, delay)
+    return arrived.dropDuplicatesWithinWatermark(keys).drop(ARRIVAL)
+
+
+def state_rows(query: StreamingQuery) -> list[int]:
+    """Rows of state that each reported micro-batch left behind, over all stateful operators."""
+    return [sum(op.numRowsTotal for op in progress.stateOperators) for progress in query.recentProgress]
