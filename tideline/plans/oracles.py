@@ -208,6 +208,7 @@ ORACLES = {
         count(*) FILTER (order_timestamp < (SELECT min(low) FROM f)) AS before_global_floor
         FROM ({EVENTS}) LEFT JOIN f USING (product_id)""",
     "fact_orders": FACT,
+    "fact_orders_bucketed": FACT,
     "fact_orders_incremental": FACT,
     "fact_orders_status": f"""SELECT e.order_id, e.order_item_id, v.order_status AS current_order_status
         FROM ({SOLD}) e LEFT JOIN (SELECT * FROM ({ORDER_VERSIONS}) WHERE valid_to = TIMESTAMP '9999-12-31') v

@@ -20,10 +20,11 @@ from tideline.operators.upsert import upsert
 from tideline.operators.wide import build_wide
 from tideline.operators.wide_delta import changed_rows, replace_anchors, wide_increment
 from tideline.plans import standins as s
-from tideline.plans.facts import ChangedLink, VersionLink, deliveries_fact, orders_fact, orders_fact_increment, with_current
+from tideline.plans.facts import ChangedLink, VersionLink, deliveries_fact, orders_fact, orders_fact_bucketed, orders_fact_increment, with_current
 from tideline.plans.models import incremental_model
 from tideline.schemas import FEED_COLUMNS
 from tideline.session import configure, scratch_dir
+from tideline.sources.bucketed import bucketed_table
 from tideline.sources.catalog import Catalog, table_counts
 from tideline.sources.cursor import cursor_stream
 from tideline.sources.dimension import DimensionTable
@@ -506,6 +507,21 @@ def fact_orders(t):
     return orders_fact_of(t)
 
 
+def bucketed_fact(t: Catalog) -> DataFrame:
+    customers, stores, orders, products = fact_links(t)
+    inputs = {"headers": s.order_headers(t), "lines": s.order_lines(t), "versions": orders.versions}
+    with ThreadPoolExecutor(len(inputs)) as pool:
+        headers, lines, versions = pool.map(lambda df: bucketed_table(df, "order_id", 8), inputs.values())
+    order_link, links = VersionLink(orders.output, versions, orders.on), [customers, stores, products]
+    return orders_fact_bucketed(headers, lines, "order_id", "order_timestamp", order_link, links, both_calendars(t), FACT_COLUMNS)
+
+
+@query("fact_orders_bucketed")
+def fact_orders_bucketed(t):
+    """The fact from orders, lines and order versions stored by bucket of the order."""
+    return bucketed_fact(t)
+
+
 @query("fact_orders_incremental")
 def fact_orders_incremental(t):
     """The fact kept over three loads: what was shipped and ordered before the cut, the rest, and late shipments."""
