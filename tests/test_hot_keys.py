@@ -54,7 +54,7 @@ def low_thresholds(spark):
 @pytest.mark.parametrize(
     "name",
     ["latest_row", "upsert", "insert_if_absent", "obt", "obt_incremental", "scd2_rebuild", "scd2_apply", "scd2_late", "snowflake_timeline", "pit_strict", "pit_floor", "pit_asof", "pit_binned",
-     "pit_closed", "coverage_gap", "fact_orders", "fact_orders_bucketed", "fact_deliveries", "dq_unique", "dq_gate"],
+     "pit_closed", "coverage_gap", "fact_orders", "fact_orders_bucketed", "fact_deliveries", "dq_unique", "dq_distinct_sketch", "distinct_by_load", "dq_gate"],
 )
 def test_same_rows(spark, tables, low_thresholds, name):
     _, _, diff, _ = differences(spark, database(tables), name, tables)

@@ -1,0 +1,61 @@
+"""Bitmaps of keys per load against brute force."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.operators.key_bitmaps import distinct_positions, doubtful, key_bitmaps, repeated_keys
+
+SCHEMA = "load int, k bigint, name string"
+
+
+def found(rows, position, key="k"):
+    bitmaps = key_bitmaps(rows, position, "load").cache()
+    return {r[0]: r["n_rows"] for r in repeated_keys(rows, bitmaps, key, position, "load").collect()}, bitmaps
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = random.Random(3)
+    keys = [rng.choice([rng.randrange(-70_000, 70_000), rng.randrange(-5, 5), 2**62 + rng.randrange(9), None]) for _ in range(3_000)]
+    return keys, spark.createDataFrame([(i % 4, k, "x") for i, k in enumerate(keys)], SCHEMA)
+
+
+def test_repeats_and_distinct_keys_are_exact(table):
+    keys, rows = table
+    counts = Counter(k for k in keys if k is not None)
+    repeats, bitmaps = found(rows, F.col("k"))
+    assert repeats == {k: n for k, n in counts.items() if n > 1}
+    assert tuple(distinct_positions(bitmaps).first()) == (len(counts), sum(counts.values()))
+
+
+def test_shared_positions_do_not_change_the_repeats(table):
+    """Keys that share positions: the bitmaps alone would report far too many."""
+    keys, rows = table
+    repeats, bitmaps = found(rows, F.col("k") % 64)
+    assert repeats == {k: n for k, n in Counter(k for k in keys if k is not None).items() if n > 1}
+    assert distinct_positions(bitmaps).first()["n_keys"] < 130
+
+
+def test_only_doubtful_loads_are_read(spark, tmp_path):
+    """Load 2 repeats a key of load 1; load 3 is far away, load 4 shares a position by chance with nothing."""
+    rows = [(1, k, "a") for k in range(100)] + [(2, 7, "b"), (3, 10**9, "c"), (4, 10**12, "d")]
+    spark.createDataFrame(rows, SCHEMA).write.partitionBy("load").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    repeats, bitmaps = found(stored, F.col("k"))
+    assert repeats == {7: 2}
+    assert sorted({r["load"] for r in doubtful(bitmaps).collect()}) == [1, 2]
+    assert distinct_positions(bitmaps).first()["n_keys"] == 102
+
+
+def test_text_keys_by_hash(spark):
+    rows = spark.createDataFrame([(i % 3, None, f"n{i % 150}") for i in range(200)] + [(0, None, None)] * 2, SCHEMA)
+    repeats, _ = found(rows, F.when(F.col("name").isNotNull(), F.xxhash64("name")), "name")
+    assert repeats == {f"n{i}": 2 for i in range(50)}
+
+
+def test_empty(spark):
+    repeats, bitmaps = found(spark.createDataFrame([], SCHEMA), F.col("k"))
+    assert repeats == {} and tuple(distinct_positions(bitmaps).first()) == (0, 0)

@@ -230,6 +230,8 @@ ORACLES = {
         {" UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) AS n_rows FROM ({WIDE}) WHERE NOT ({r})"
             for r in ("total_amount >= 1000", "quantity < 50", "store_id >= 0"))}) WHERE n_rows > 0""",
     "dq_unique": "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+    "dq_distinct_sketch": "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+    "distinct_by_load": "SELECT count(DISTINCT l_orderkey) AS n_keys, count(l_orderkey) AS n_rows FROM lineitem",
     "dq_relationship": """SELECT o_orderkey, count(*) AS n_rows FROM orders
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""",
     "dq_expression": " UNION ALL ".join(

@@ -11,6 +11,7 @@ from tideline.functions import full_name, literal
 from tideline.functions.calendar import calendar
 from tideline.operators import quality
 from tideline.operators.incremental import high_water, high_water_frame, newer_than
+from tideline.operators.key_bitmaps import distinct_positions, key_bitmaps, repeated_keys
 from tideline.operators.latest import distinct_rows, latest_row
 from tideline.operators.observed import Watch
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
@@ -587,6 +588,29 @@ def dq_unique(t):
     return quality.unique(t["lineitem"], s.LINE_KEY)
 
 
+def loads_by_year(t: Catalog, position) -> tuple[DataFrame, DataFrame]:
+    """Lines stored by year of shipping, and the bitmaps of each year, which a load writes beside its rows."""
+    root = scratch_dir(t.spark, "loads")
+    t["lineitem"].withColumn("load", F.year("l_shipdate")).write.partitionBy("load").parquet(f"{root}/rows")
+    rows = t.spark.read.parquet(f"{root}/rows")
+    key_bitmaps(rows, position, "load").write.partitionBy("load").parquet(f"{root}/bitmaps")
+    return rows, t.spark.read.parquet(f"{root}/bitmaps")
+
+
+@query("dq_distinct_sketch")
+def dq_distinct_sketch(t):
+    """The repeats of `dq_unique` over the loads of all years, from the buckets that can hold any."""
+    position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows, bitmaps = loads_by_year(t, position)
+    return repeated_keys(rows, bitmaps, s.LINE_KEY, position, "load")
+
+
+@query("distinct_by_load")
+def distinct_by_load(t):
+    """Orders and lines over the loads of all years, from their bitmaps."""
+    return distinct_positions(loads_by_year(t, F.col("l_orderkey"))[1])
+
+
 @query("dq_relationship")
 def dq_relationship(t):
     """Orders that no line refers to."""
