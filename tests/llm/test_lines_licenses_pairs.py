@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,3 +126,33 @@ def test_common_prefix_is_the_prompt(spark):
     assert whole[1]["prompt"] == "<|user|>\nq<|end|>\n<|assistant|>\na<|end|>\n<|user|>\nq2<|end|>\n"
     assert whole[1]["chosen"] == "<|assistant|>\ngood<|end|>\n" and whole[3]["rejected"] == ""
     assert preference.format_pairs(chosen.limit(0), rejected.limit(0)).count() == 0
+
+
+def test_assembled_completions_keep_their_masks(spark):
+    """Every size, against joining by hand: pieces joined are the parts, spans hold what the segments train on."""
+    rng = random.Random(5)
+    start = [(p, t, rng.choice(["user", "assistant", None]), rng.choice(["", None, "wörd " * rng.randrange(9)])) for p in range(6) for t in range(3)]
+    ends = [[(p, 3 + t, rng.choice(["user", "assistant"]), f"{side} {t}") for p in range(5) for t in range(rng.randrange(9))] for side in "cr"]
+    far = [(9, t, "assistant", f"far {t}") for t in (None, -5, 4095, 4096, 90_000)]
+    segments = preference.format_pairs(turns(spark, start + ends[0] + far), turns(spark, start + ends[1]))
+    texts, trained = {}, {}
+    nulls_first = lambda r: (r["turn"] is not None, r["turn"] or 0, r["role"] or "", r["rendered"])
+    for r in sorted(segments.collect(), key=nulls_first):
+        key = (r["pair_id"], r["part"])
+        texts[key] = texts.get(key, "") + r["rendered"]
+        if r["loss_start"] < r["loss_end"]:
+            trained.setdefault(key, []).append(r["rendered"][r["loss_start"] : r["loss_end"]])
+    for size in (1, 40, 1_000_000):
+        rows = sorted(preference.assemble(segments, size).collect(), key=lambda r: (r["pair_id"], r["piece"]))
+        got, spans = {}, {}
+        for r in rows:
+            for part in ("prompt", "chosen", "rejected"):
+                if r[part]:
+                    got[r["pair_id"], part] = got.get((r["pair_id"], part), "") + r[part]
+            for part in ("chosen", "rejected"):
+                for span in r[f"{part}_loss"]:
+                    spans.setdefault((r["pair_id"], part), []).append(r[part][span["start"] : span["end"]])
+        assert got == texts and spans == trained
+        assert size > 1 or len(rows) > len({r["pair_id"] for r in rows})
+    assert {r["piece"] for r in rows} == {0} and len(rows) == 7
+    assert preference.assemble(segments.limit(0)).count() == 0

@@ -1,11 +1,14 @@
 """Preference pairs: the common turn prefix once as prompt, and the two completions with loss masks."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A turn is written as head, text and tail; the loss covers text and tail of the trained role.
 HEAD, TAIL, TRAINED = "<|%s|>\n", "<|end|>\n", "assistant"
 
+# Turn numbers whose characters are summed in one task.
+SLICE = 4096
+
 
 def _turns(conversations: DataFrame, side: str) -> DataFrame:
     """One row per different turn; repeated rows of a turn count once, rows without a pair id go."""
@@ -48,14 +51,47 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame, head: str = HEAD, tail:
     )
 
 
-def assemble(segments: DataFrame) -> DataFrame:
-    """(pair_id, prompt, chosen, rejected) as whole strings, for pairs that fit a row; turns in order."""
+def _placed(segments: DataFrame) -> DataFrame:
+    """Segments with `begin`, the characters of their part before them in the order of turns.
+
+    Sums run over slices of SLICE turn numbers first and within a slice then, so a long conversation is spread over tasks.
+    """
+    sliced = segments.withColumn("_slice", F.floor(F.col("turn") / SLICE)).withColumn("_size", F.length("rendered").cast("long"))
+    part, before = ["pair_id", "part"], (Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy(*part, "_slice").agg(F.sum("_size").alias("_sum"))
+    sums = sizes.withColumn("_low", F.sum("_sum").over(Window.partitionBy(*part).orderBy("_slice").rowsBetween(*before)))
+    sums = sums.select(*[F.col(c).alias(f"_{c}") for c in part], F.col("_slice").alias("_of"), F.coalesce("_low", F.lit(0)).alias("_low"))
+    same = F.col("pair_id").eqNullSafe(F.col("_pair_id")) & (F.col("part") == F.col("_part")) & F.col("_slice").eqNullSafe(F.col("_of"))
+    inside = Window.partitionBy(*part, "_slice").orderBy("turn", "role", "rendered").rowsBetween(*before)
+    begin = F.col("_low") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
+    return sliced.join(sums, same).withColumn("begin", begin).select(*segments.columns, "begin")
+
+
+def assemble(segments: DataFrame, size: int = 1_000_000) -> DataFrame:
+    """(pair_id, piece, prompt, chosen, rejected, chosen_loss, rejected_loss): whole strings and their masks.
+
+    The turns of each part follow each other in order. Loss spans are arrays of (start, end), end exclusive, in code points
+    of the string beside them, ascending; a part without trained turns has none. A part of more than `size` characters goes
+    on in the next piece, at the end of a turn: turns are never cut, so a piece is at most `size` characters and a turn long.
+    Pairs within the size are one row with piece 0, and the pieces of a part joined in order are the part. A part that a
+    pair does not have is an empty string without spans.
+    """
+    placed = _placed(segments).withColumn("piece", F.floor(F.col("begin") / size))
+    first = F.min("begin").over(Window.partitionBy("pair_id", "part", "piece"))
+    rows = placed.withColumn("at", F.col("begin") - first)
+    order = F.struct("begin", "turn", "role", "rendered")
 
     def joined(part: str) -> Column:
-        rows = F.collect_list(F.when(F.col("part") == part, F.struct("turn", "role", "rendered")))
-        return F.array_join(F.transform(F.array_sort(rows), lambda r: r["rendered"]), "").alias(part)
+        turns = F.collect_list(F.when(F.col("part") == part, order))
+        return F.array_join(F.transform(F.array_sort(turns), lambda r: r["rendered"]), "").alias(part)
+
+    def losses(part: str) -> Column:
+        span = F.struct((F.col("at") + F.col("loss_start")).alias("start"), (F.col("at") + F.col("loss_end")).alias("end"))
+        wanted = (F.col("part") == part) & (F.col("loss_start") < F.col("loss_end"))
+        return F.array_sort(F.collect_list(F.when(wanted, span))).alias(f"{part}_loss")
 
-    return segments.groupBy("pair_id").agg(joined("prompt"), joined("chosen"), joined("rejected"))
+    both = [losses("chosen"), losses("rejected")]
+    return rows.groupBy("pair_id", "piece").agg(joined("prompt"), joined("chosen"), joined("rejected"), *both)
 
 
 def with_repeated_reply(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
