@@ -13,7 +13,7 @@ from tideline.plans.pipeline import FRESHNESS, Freshness, RetailPipeline
 from tideline.schemas import PRIMARY_KEY
 from tideline.session import scratch_dir
 from tideline.sources.extract import extract_since
-from tideline.sources.feed import clean_feed, read_feed, rejected_feed, stream_feed
+from tideline.sources.feed import clean_feed, counted_rejects, read_feed, rejected_feed, stream_feed
 from tideline.sources.loader import load_sources
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end, suppress_duplicates
@@ -35,6 +35,16 @@ def test_feed_types_blanks_and_rejects(spark, tmp_path):
     assert rows(rejected_feed(raw), "delivery_id", "reason") == [("DEL-8", "delivery_date"), ("DEL-9", "product_id")]
 
 
+def test_identical_rejects_of_a_file_are_counted(spark, tmp_path):
+    short = "DEL-7,SUP-1"
+    write_feed(tmp_path / "f", "a.csv", [*FEED, short, short, short, "DEL-6,SUP-1"])
+    write_feed(tmp_path / "f", "b.csv", [short])
+    table = StoredTable(spark, str(tmp_path / "rejects"), "reject_id", 2)
+    sink = Sink(table, "source_file", counted_rejects)
+    run_to_end(merge_stream(stream_feed(spark, str(tmp_path / "f")), [sink], str(tmp_path / "cp")))
+    assert rows(table.read(), "line", "n_lines") == [("DEL-6,SUP-1", 1), (short, 1), (short, 3)]
+
+
 def test_feed_lines_of_another_length_or_without_id_are_rejected(spark, tmp_path):
     write_feed(tmp_path / "f", "a.csv", [*FEED, "DEL-7,SUP-1", "DEL-6,SUP-1,North,1,2025-11-08,1,1.00,9", ",SUP-1,North,1,2025-11-08,1,1.00"])
     raw = read_feed(spark, str(tmp_path / "f"))

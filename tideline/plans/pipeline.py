@@ -21,7 +21,7 @@ from tideline.plans.facts import VersionLink, deliveries_fact, orders_fact, with
 from tideline.plans.models import layer_model
 from tideline.schemas import PRIMARY_KEY
 from tideline.sources.dimension import DimensionTable
-from tideline.sources.feed import clean_feed, rejected_feed, stream_feed
+from tideline.sources.feed import clean_feed, counted_rejects, stream_feed
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import Sink, merge_stream, run_to_end
 
@@ -139,7 +139,7 @@ class RetailPipeline:
 
         sinks = [
             Sink(bronze, ["delivery_date", "source_file"], stamped(clean_feed)),
-            Sink(rejects, "source_file", stamped(rejected_feed)),
+            Sink(rejects, "source_file", stamped(counted_rejects)),
         ]
         run_to_end(merge_stream(stream_feed(self.spark, self.feed), sinks, f"{self.root}/checkpoints/feed"))
 

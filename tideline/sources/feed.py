@@ -83,3 +83,9 @@ def rejected_feed(raw: DataFrame) -> DataFrame:
     row_id = F.md5(F.to_json(F.struct(*raw.columns)))
     named = raw.withColumns({"reason": reject_reason(), "reject_id": row_id})
     return named.filter(F.col("reason").isNotNull()).withColumnRenamed(BROKEN, "line")
+
+
+def counted_rejects(raw: DataFrame) -> DataFrame:
+    """One row per rejected line of a file, with the number of times the file holds it; a file arrives in one batch."""
+    rejected = rejected_feed(raw)
+    return rejected.groupBy(*rejected.columns).agg(F.count("*").alias("n_lines"))
