@@ -66,3 +66,17 @@ def test_facts_with_large_dimensions(spark, tables, low_thresholds, monkeypatch)
     monkeypatch.setattr("tideline.operators.pit.BINNED_ROWS", 10)
     _, _, diff, _ = differences(spark, database(tables), "fact_orders", tables)
     assert diff == []
+
+
+def test_fact_increment_with_shuffled_joins(spark):
+    """Joins that Spark shuffles and adaptive execution splits: inputs of a union then differ in their partitions."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        _, _, diff, _ = differences(spark, database(SF), "fact_orders_incremental", SF)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert diff == []
