@@ -2,9 +2,12 @@
 
 from datetime import date, datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import types as T
 
-from tideline.sources.cursor import CursorSource, CursorTable, cursor_stream, cut
+from tideline.sources.cursor import CursorRange, CursorSource, CursorTable, cursor_stream, cut
 from tideline.sources.store import StoredTable
 from tideline.streaming.merge import run_to_end, state_rows, suppress_repeats
 
@@ -127,3 +130,14 @@ def test_reserved_name(spark):
     stream = spark.readStream.format("rate").load().withColumnRenamed("value", "_arrived")
     with pytest.raises(ValueError, match="_arrived"):
         suppress_repeats(stream, "timestamp", "1 hour")
+
+
+def test_a_row_group_is_decoded_in_pieces(spark, tmp_path):
+    table = pa.table({"id": range(1_000_000), "at": range(1_000_000), "x": range(1_000_000)})
+    pq.write_table(table, tmp_path / "one.parquet", row_group_size=1_000_000, use_dictionary=False)
+    del table
+    rows = CursorTable({"path": str(tmp_path), "cursor": "at"}, T.StructType.fromDDL("id long, at long, x long")).rows(CursorRange("9", "999989"))
+    before, most, n = pa.total_allocated_bytes(), 0, 0
+    for batch in rows:
+        most, n = max(most, pa.total_allocated_bytes() - before), n + batch.num_rows
+    assert n == 999_980 and most < 12 << 20  # of 24 MB

@@ -8,6 +8,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -15,6 +16,8 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
 Value = int | date | datetime
+# Rows decoded at once, and bytes read ahead per column.
+BATCH_ROWS, BUFFER = 32_768, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -125,15 +128,32 @@ class CursorTable:
         return ranges
 
     def rows(self, part: CursorRange) -> Iterator[pa.RecordBatch]:
-        """Rows of a range, with the columns of the schema; files and row groups outside it are not read."""
-        kind, field = self.kind(), ds.field(self.cursor)
-        wanted = field <= pa.scalar(self.parse(part.high), type=kind)
-        if part.low is not None:
-            wanted &= field > pa.scalar(self.parse(part.low), type=kind)
+        """Rows of a range, with the columns of the schema; files and row groups outside it are not read.
+
+        A row group is decoded a batch at a time, from a buffer per column, so memory does not grow with the size of files
+        or row groups. A data set's scanner would decode whole row groups, and several ahead.
+        """
+        kind, field, whole = self.kind(), ds.field(self.cursor), self.dataset()
+        high = pa.scalar(self.parse(part.high), type=kind)
+        low = None if part.low is None else pa.scalar(self.parse(part.low), type=kind)
+        wanted = field <= high if low is None else (field <= high) & (field > low)
         target = to_arrow_schema(self.schema)
-        for batch in self.dataset().to_batches(columns=target.names, filter=wanted, batch_size=32_768, use_threads=False):
-            if batch.num_rows:
-                yield batch.cast(target)
+        for fragment in whole.get_fragments():
+            groups = [group.id for group in fragment.subset(filter=wanted, schema=whole.schema).row_groups]
+            if not groups:
+                continue
+            with fragment.open() as opened:
+                file = pq.ParquetFile(opened, buffer_size=BUFFER, pre_buffer=False, coerce_int96_timestamp_unit="us")
+                names = [n for n in dict.fromkeys([*target.names, self.cursor]) if n in file.schema_arrow.names]
+                if self.cursor not in names:
+                    continue
+                for batch in file.iter_batches(BATCH_ROWS, row_groups=groups, columns=names, use_threads=False):
+                    at = batch.column(self.cursor)
+                    inside = pc.less_equal(at, high)
+                    batch = batch.filter(inside if low is None else pc.and_(inside, pc.greater(at, low)))
+                    if batch.num_rows:
+                        columns = [batch.column(n) if n in names else pa.nulls(batch.num_rows, whole.schema.field(n).type) for n in target.names]
+                        yield pa.RecordBatch.from_arrays(columns, target.names).cast(target)
 
 
 class CursorBatch(DataSourceReader):
