@@ -61,3 +61,9 @@ def test_orders_with_many_lines_leave_their_bucket(spark, no_broadcast):
     finally:
         spark.conf.unset(HOT_ROWS_SETTING)
     assert sorted(fact.collect()) == expected
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not available")
+def test_version_ids_are_formed_after_the_joins(spark):
+    links = queries.fact_links(s.tables(spark, SF))
+    assert [link.marker for link in links] == ["valid_from"] * 4 and all("scd_id" not in link.versions.columns for link in links)
