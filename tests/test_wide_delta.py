@@ -4,8 +4,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators.wide import Entry, FanOutError, build_wide
-from tideline.operators.wide_delta import changed_rows, replace_anchors, touched_anchors, wide_increment
+from tideline.operators import wide_delta
+from tideline.operators.wide import Entry, FanOutError, build_wide, join_order
+from tideline.operators.wide_delta import KeySet, changed_rows, replace_anchors, touched_anchors, used_columns, wide_increment
 
 SCHEMAS = {
     "orders": "id int, customer int, rate string, note string",
@@ -97,3 +98,52 @@ def test_changed_rows_count_copies_and_nulls(spark):
     one = spark.createDataFrame([(1, None), (1, None), (2, "a"), (None, None)], "a int, b string")
     two = spark.createDataFrame([(1, None), (2, "b"), (None, None)], "a int, b string")
     assert counted(changed_rows(one, two)) == Counter([(1, None), (2, "a"), (2, "b")])
+
+
+@pytest.mark.parametrize("most", [0, 2_000_000])
+def test_keys_are_told_apart_as_masks_and_by_joins(spark, monkeypatch, most):
+    monkeypatch.setattr(wide_delta, "MASK_ROWS", most)
+    numbers = [None, 0, 1, 63, 64, 65, -1, -64, -65, 2**62, -(2**63), 2**63 - 1]
+    rows = spark.createDataFrame([(n, i) for i in range(2) for n in numbers], "n long, i int")
+    for some in (numbers[1::2], numbers[::2], [None], []):
+        keys = KeySet(spark.createDataFrame([(n,) for n in [*some, *some]], "k long"), ["k"])
+        assert (keys.masks is None) == (most == 0 and bool(some))
+        for among in (True, False):
+            for nulls in (True, False):
+                expected = [(n, i) for n, i in counted(rows) if (n in some and (nulls or n is not None)) == among]
+                assert counted(keys.cut(rows, ["n"], among, nulls)) == Counter(expected)
+
+
+def test_increment_without_masks(spark, monkeypatch):
+    monkeypatch.setattr(wide_delta, "MASK_ROWS", 0)
+    chance = random.Random(11)
+    before, after = frames(spark, state(chance)), frames(spark, state(chance))
+    changes = {}
+    for name in SCHEMAS:
+        columns = used_columns(ENTRIES, name, ["id"])
+        changes[name] = changed_rows(before[name].select(*columns), after[name].select(*columns))
+    touched, rows = wide_increment(after, changes, ENTRIES, ["id"], derived())
+    kept = replace_anchors(build_wide(before, ENTRIES, derived()), touched, rows, ENTRIES, ["id"])
+    assert counted(kept) == counted(build_wide(after, ENTRIES, derived()))
+
+
+def test_lookups_of_the_anchor_come_before_lines():
+    assert [e.alias for e in join_order(ENTRIES)] == ["o", "c", "s", "l", "p", "r"]
+
+
+def test_kept_rows_are_not_shuffled(spark):
+    rows = state(random.Random(3))
+    rows["orders"] = [(i, i % 6, "x", "a") for i in range(14)]
+    tables = frames(spark, rows)
+    changes = {"orders": tables["orders"].filter("id < 9")}
+    wide = build_wide(tables, ENTRIES, derived(), verify=False).localCheckpoint()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        touched, rows = wide_increment(tables, changes, ENTRIES, ["id"], derived(), verify=False)
+        kept = replace_anchors(wide, touched, rows.limit(0), ENTRIES, ["id"])
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan and "strategy=broadcast" in plan
+        assert {r["id"] for r in kept.collect()} == set(range(9, 14))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

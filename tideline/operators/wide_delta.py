@@ -11,11 +11,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tideline.operators.quality import fan_out
-from tideline.operators.wide import EQUALITY, REFERENCE, Entry, FanOutError, _flat, _left_join, _needed, check_entries, references
+from tideline.operators.wide import EQUALITY, REFERENCE, Entry, FanOutError, _flat, _left_join, _needed, check_entries, join_order, references
 from tideline.session import scratch_dir
 
+# Masks of touched keys that go to every task: 16 bytes and an entry of a hash table each, for up to 64 keys.
+MASK_ROWS = 2_000_000
+
 EQUALITIES = re.compile(rf"\s*{EQUALITY.pattern}(?:\s+and\s+{EQUALITY.pattern})*\s*", re.IGNORECASE)
 
 
@@ -28,6 +32,15 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     return signed.groupBy(*columns).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0").drop("_sign")
 
 
+def used_columns(entries: Sequence[Entry], table: str, key: Sequence[str] = ()) -> list[str]:
+    """The columns of a table that the wide table shows or joins by, and of the anchor its key: changes in others are none."""
+    found = list(key) if entries[0].table == table else []
+    for entry in entries:
+        if entry.table == table:
+            found += [c for c, _ in entry.outputs] + [c for e in entries for a, c in references(e.on) if a == entry.alias] + list(entry.lookup_key or [])
+    return list(dict.fromkeys(found))
+
+
 def same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
@@ -49,6 +62,53 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class KeySet:
+    """The keys in some columns, to tell the rows that have one of them from the others.
+
+    A single whole-number column becomes masks of 64 neighbouring numbers. Up to `MASK_ROWS` of these, counted first, go
+    to every task, so that rows are tested where they lie; other and more widely scattered keys are joined as Spark chooses.
+    """
+
+    def __init__(self, rows: DataFrame, columns: Sequence[str]):
+        self.keys, self.masks = rows.select(*[F.col(c).alias(f"_key{n}") for n, c in enumerate(columns)]).distinct(), None
+        if [isinstance(f.dataType, IntegralType) for f in self.keys.schema] == [True]:
+            masks = _written(_masks(self.keys), "masks")
+            if masks.count() <= MASK_ROWS:
+                self.masks, self.has_null = masks, not masks.filter("_word IS NULL").isEmpty()
+
+    def cut(self, rows: DataFrame, names: Sequence[str], among: bool = True, nulls: bool = True) -> DataFrame:
+        """The rows whose columns `names` are among the keys, or the others; with `nulls`, null equals null."""
+        if self.masks is None or not isinstance(rows.schema[names[0]].dataType, IntegralType):
+            pairs = zip(names, self.keys.columns)
+            on = same(names, self.keys.columns) if nulls else reduce(Column.__and__, [F.col(a) == F.col(b) for a, b in pairs])
+            return rows.join(self.keys, on, "left_semi" if among else "left_anti")
+        key = F.col(names[0]).cast("long")
+        marked = F.coalesce(F.getbit("_mask", key.bitwiseAND(F.lit(63)).cast("int")) == 1, F.lit(False))
+        held = F.when(key.isNull(), F.lit(nulls and self.has_null)).otherwise(marked)
+        placed = rows.withColumn("_word", F.shiftright(key, 6))
+        return placed.join(F.broadcast(self.masks), "_word", "left").filter(held if among else ~held).select(*rows.columns)
+
+
+def _masks(keys: DataFrame) -> DataFrame:
+    """Whole-number keys as masks of 64 neighbours, one row each, and a row without a number for null."""
+    key = F.col(keys.columns[0]).cast("long")
+    bits = keys.select(F.shiftright(key, 6).alias("_word"), key.bitwiseAND(F.lit(63)).cast("int").alias("_bit"))
+    return bits.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
+
+
+def _sides(entry: Entry) -> tuple[list[str], list[str]] | None:
+    """The columns of other entries and those of this one, if the condition does nothing but equate the one with the other."""
+    pairs = [((a, b), (c, d)) if a != entry.alias else ((c, d), (a, b)) for a, b, c, d in EQUALITY.findall(entry.on)]
+    if not EQUALITIES.fullmatch(entry.on) or any(other[0] == entry.alias or own[0] != entry.alias for other, own in pairs):
+        return None
+    return [_flat(*other) for other, _ in pairs], [_flat(*own) for _, own in pairs]
+
+
+def _looks_up(entry: Entry, other: Entry) -> bool:
+    """Whether an entry is a lookup by equalities with one other entry alone."""
+    return bool(entry.lookup_key and _sides(entry)) and {a for a, _ in references(entry.on)} == {entry.alias, other.alias}
+
+
 def touched_anchors(tables: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], entries: Sequence[Entry], key: Sequence[str]) -> DataFrame:
     """Distinct anchor keys whose rows in the wide table may differ; `tables` hold the new state.
 
@@ -73,7 +133,10 @@ def touched_anchors(tables: Mapping[str, DataFrame], changes: Mapping[str, DataF
             other = by_alias[others.pop()]
             more = key if other is anchor else ()
             rows = _linking(tables[other.table], other, entries, more)
-            met[other.alias].append(rows.join(images, _condition(entry), "left_semi"))
+            if sides := _sides(entry):
+                met[other.alias].append(KeySet(images, sides[1]).cut(rows, sides[0], nulls=False))
+            else:
+                met[other.alias].append(rows.join(images, _condition(entry), "left_semi"))
         else:
             joined = _joined(tables, entries, entry, key)
             found.append(joined.join(images, _condition(entry), "left_semi").select(*flat_key))
@@ -122,7 +185,8 @@ def wide_increment(
     `key` names the anchor's columns that tell its rows apart; nulls count as a value. An anchor that was removed has
     its key among the first and no row among the second. Each further table is cut down to what the touched rows
     can meet before it is joined, and what has been joined so far is stored before that, so that Spark knows how
-    little it is. Tables without an entry in `changes` are taken as unchanged.
+    little it is. Lookups of a table that multiplies rows are joined to its rows before these meet the anchors.
+    Tables without an entry in `changes` are taken as unchanged.
     """
     if verify:
         check_changed_lookups(tables, changes, entries)
@@ -131,24 +195,41 @@ def wide_increment(
     used = [c for c, _ in anchor.outputs] + [c for e in entries for a, c in references(e.on) if a == anchor.alias] + list(key)
     rows = tables[anchor.table].select(*[F.col(c).alias(_flat(anchor.alias, c)) for c in dict.fromkeys(used)])
     flat_key = [_flat(anchor.alias, c) for c in key]
-    keys = touched.select(*[F.col(c).alias(f"_{c}") for c in flat_key])
-    rows = _written(rows.join(keys, same(flat_key, keys.columns), "left_semi"), "anchors")
-    for entry in entries[1:]:
-        right = _needed(tables[entry.table], entry, entries)
-        if EQUALITIES.fullmatch(entry.on):
-            sides = dict.fromkeys(_flat(a, c) for a, c in references(entry.on) if a != entry.alias)
-            right = right.join(rows.select(*sides).distinct(), _condition(entry), "left_semi")
-        rows = _left_join(rows, right, _condition(entry), entry)
+    wanted = KeySet(touched, flat_key)
+    rows = stored = _written(wanted.cut(rows, flat_key), "anchors")
+    todo = join_order(entries)[1:]
+
+    def cut_down(entry: Entry, left: DataFrame) -> DataFrame:
+        """The rows of an entry that those on the left can meet."""
+        right, sides = _needed(tables[entry.table], entry, entries), _sides(entry)
+        if not EQUALITIES.fullmatch(entry.on):
+            return right
+        if sides and sides[0] == flat_key and wanted.masks is not None:
+            return wanted.cut(right, sides[1], nulls=False)
+        used = dict.fromkeys(_flat(a, c) for a, c in references(entry.on) if a != entry.alias)
+        # Left joins lose no row, so what was stored before them has the same values of its columns.
+        held = stored if set(used) <= set(stored.columns) else left
+        return right.join(held.select(*used).distinct(), _condition(entry), "left_semi")
+
+    while todo:
+        entry = todo.pop(0)
+        right = plain = cut_down(entry, rows)
         if entry.lookup_key is None:
-            rows = _written(rows, "widened")
+            # Its own lookups first: they move its rows alone, without the anchors' columns.
+            for lookup in [e for e in todo if _looks_up(e, entry)]:
+                right = _left_join(right, cut_down(lookup, plain), _condition(lookup), lookup)
+                todo.remove(lookup)
+        rows = _left_join(rows, right, _condition(entry), entry, plain)
+        if entry.lookup_key is None and todo:
+            rows = stored = _written(rows, "widened")
     rows = rows.select(*[F.col(_flat(e.alias, c)).alias(name) for e in entries for c, name in e.outputs])
     return touched, rows.withColumns(dict(derived)) if derived else rows
 
 
 def replace_anchors(wide: DataFrame, touched: DataFrame, rows: DataFrame, entries: Sequence[Entry], key: Sequence[str]) -> DataFrame:
     """The wide table with all rows of the touched anchors replaced; the other rows are passed on without a shuffle
-    as long as the touched keys are few enough for Spark to send them to every task."""
+    as long as the touched keys are few enough, as keys or as masks, to be sent to every task."""
     names = {c: name for c, name in entries[0].outputs}
-    keys = touched.select(*[F.col(_flat(entries[0].alias, c)).alias(f"_{c}") for c in key])
-    kept = wide.join(keys, same([names[c] for c in key], keys.columns), "left_anti")
+    keys = KeySet(touched, [_flat(entries[0].alias, c) for c in key])
+    kept = keys.cut(wide, [names[c] for c in key], among=False)
     return kept.unionByName(rows.select(*wide.columns))
