@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate as dc
 from tideline.llm.words import Words
@@ -126,6 +127,47 @@ def test_recall_does_not_fall_with_the_benchmark(spark, make_docs):
     assert {(r["doc_id"], r["item_id"]) for r in dc.search(docs, index).collect()} == leaks
 
 
+def test_the_latent_space_covers_all_documents(spark, make_docs):
+    """The words of documents that come last by the hash of their ids are in it, too"""
+    rng = random.Random(17)
+    ids = [r["id"] for r in spark.range(1300).orderBy(F.xxhash64("id")).collect()]
+
+    def topic(sign, n):
+        words = [f"{sign}{k}" for k in range(n)]
+        return words, lambda: " ".join(rng.choice(words) for _ in range(64))
+
+    (first, early), (last, late) = topic("a", 2400), topic("z", 600)
+    docs = make_docs([(d, early() if k < 1000 else late()) for k, d in enumerate(ids)])
+    index = dc.build_index(docs, spark.createDataFrame([(1, "one item here. its answer")], "item_id long, text string"))
+    assert (index.row_of[dc.bucket(Words(pa.array([" ".join(first)])).hashes())] >= 0).mean() > 0.5
+    assert (index.row_of[dc.bucket(Words(pa.array([" ".join(last)])).hashes())] >= 0).mean() > 0.5
+
+
+def test_basis_equals_a_singular_value_decomposition(spark):
+    """Over several tasks and rounds: the products of passages of up to `size` words, weighed and of unit length."""
+    import numpy as np
+
+    rng = random.Random(19)
+    texts = [" ".join(f"{'xyz'[d % 3]}{min(rng.randrange(12), rng.randrange(12))}" for _ in range(rng.randint(0, 150))) for d in range(60)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    shares, n = dc.document_shares(docs)
+    assert n == 62 and shares.sum() == sum(len(set((t or "").split())) for t in texts)
+    idf = dc.positive_weights(shares, n)
+    places, items = dc.vocabulary(["x0 y1 new"], shares, idf), ["x0 y1 new", ""]
+    basis = dc.latent_basis(docs, items, idf, places, 0.5, rank=3, rounds=6)
+    rows = []
+    for weight, own in [(0.5**0.5, texts), (dc.ITEM_WEIGHT, items)]:
+        for words in [(t or "").split() for t in own]:
+            for at in range(0, len(words), dc.FIT_WORDS):
+                row = np.zeros(int(places.max()) + 1)
+                for term in dc.bucket(Words(pa.array([" ".join(words[at : at + dc.FIT_WORDS])])).hashes()):
+                    row[places[term]] += idf[term]
+                norm = np.sqrt(sum(idf[t] ** 2 for t in dc.bucket(Words(pa.array([" ".join(words[at : at + dc.FIT_WORDS])])).hashes())))
+                rows.append(weight * row / norm)
+    expected = np.linalg.svd(np.array(rows))[2][:3].T
+    assert np.abs(np.abs((basis * expected).sum(axis=0)) - 1).max() < 1e-3
+
+
 @given(st.lists(st.lists(st.integers(0, 30), max_size=60), min_size=1, max_size=4), st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=12), min_size=1, max_size=5), st.integers(1, 40))
 def test_exact_windows_hold_every_passage(texts, items, pairs):
     import numpy as np
