@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.operators import skew
 from tideline.operators.pit import choose_strategy, coverage_gap, pit_join, pit_join_closed
 from tideline.operators.scd import as_of, current, scd1, scd2_apply, scd2_first, scd2_open, scd2_rebuild, snowflake_as_of, version_floor
 from tideline.operators.skew import HOT_ROWS_SETTING, hot_tokens, slice_bounds, slice_of
@@ -122,6 +123,20 @@ def test_hot_tokens_are_exact_and_ignore_ordinary_keys(spark, hot):
     assert hot_tokens(df.limit(0), "k") == {}
 
 
+def test_hot_tokens_shuffle_cells_where_no_key_is_hot(spark, hot, monkeypatch):
+    """Cells above the limit in which no key is, and fewer cells than keys: what comes back does not depend on them."""
+    df = spark.range(40_000).selectExpr("IF(id % 4 = 0, -1, id % 5000) AS k").repartition(4)
+    counts = []
+    for cells, named in ((1, 256), (7, 256), (1 << 14, 256), (1 << 14, 0)):
+        monkeypatch.setattr(skew, "CELLS", cells)
+        monkeypatch.setattr(skew, "NAMED_CELLS", named)
+        for limit in (8, 9_000, 20_000):
+            hot(limit)
+            counts.append((limit, sorted(hot_tokens(df, "k").values())))
+    expected = {limit: sorted(n for n in df.groupBy("k").count().toPandas()["count"] if n > limit) for limit in (8, 9_000, 20_000)}
+    assert all(found == expected[limit] for limit, found in counts) and expected[9_000] == [10_000] and not expected[20_000]
+
+
 def test_slices_split_a_hot_key_evenly(spark, hot):
     hot(1000)
     df = spark.range(10_000).selectExpr("1 AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id) AS at")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tideline.functions import day_key, full_name
 from tideline.functions.calendar import calendar, day_attributes, day_range
 from tideline.operators import quality as q
+from tideline.operators import wide as wide_module
 from tideline.operators.wide import Entry, FanOutError, WideConfigError, build_wide, check_entries, join_keys
 from tideline.operators.skew import HOT_ROWS_SETTING
 from tideline.plans.facts import deliveries_fact
@@ -195,3 +196,24 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_lookups_of_lines_join_the_lines_alone(spark, monkeypatch):
+    """Parts meet lines before orders do, so that join moves no column of an order; the rows stay the same."""
+    moved, join = [], wide_module._left_join
+    monkeypatch.setattr(wide_module, "_left_join", lambda left, *rest: moved.append(set(left.columns)) or join(left, *rest))
+    tables = {
+        "orders": spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, note string"),
+        "lines": spark.createDataFrame([(1, 10), (1, 11), (1, 99), (1, None), (4, 10)], "k long, part long"),
+        "parts": spark.createDataFrame([(10, "x"), (11, "y"), (None, "z")], "part long, name string"),
+    }
+    entries = [
+        Entry("orders", "o", [("k", "order_id"), "note"]),
+        Entry("lines", "l", [("part", "part_id")], on="o.k = l.k"),
+        Entry("parts", "p", ["name"], on="l.part = p.part", lookup_key=["part"]),
+    ]
+    wide = build_wide(tables, entries)
+    assert rows(wide) == [
+        (1, "a", 10, "x"), (1, "a", 11, "y"), (1, "a", 99, None), (1, "a", None, None), (2, "b", None, None), (None, "c", None, None),
+    ]
+    assert moved == [{"l__k", "l__part"}, {"o__k", "o__note"}]

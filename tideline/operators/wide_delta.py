@@ -5,7 +5,6 @@ travel back through the entries, from each changed table to the table it was joi
 only the rows a change touches are joined again.
 """
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -14,14 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tideline.operators.quality import fan_out
-from tideline.operators.wide import EQUALITY, REFERENCE, Entry, FanOutError, _flat, _left_join, _needed, check_entries, join_order, references
+from tideline.operators.wide import (
+    EQUALITIES, Entry, FanOutError, _condition, _flat, _left_join, _looks_up, _needed, _sides, check_entries, join_order, references,
+)
 from tideline.session import scratch_dir
 
 # Masks of touched keys that go to every task: 16 bytes and an entry of a hash table each, for up to 64 keys.
 MASK_ROWS = 2_000_000
 
-EQUALITIES = re.compile(rf"\s*{EQUALITY.pattern}(?:\s+and\s+{EQUALITY.pattern})*\s*", re.IGNORECASE)
-
 
 def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows that one state has more often than the other, each once: the images of what changed between them.
@@ -45,10 +44,6 @@ def same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
-def _condition(entry: Entry) -> Column:
-    return F.expr(REFERENCE.sub(lambda m: _flat(*m.groups()), entry.on))
-
-
 def _linking(df: DataFrame, entry: Entry, entries: Sequence[Entry], more: Sequence[str] = ()) -> DataFrame:
     """The columns of an entry that conditions use, and some more, named by alias and column."""
     used = [c for e in entries for a, c in references(e.on) if a == entry.alias]
@@ -96,19 +91,6 @@ def _masks(keys: DataFrame) -> DataFrame:
     return bits.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
 
 
-def _sides(entry: Entry) -> tuple[list[str], list[str]] | None:
-    """The columns of other entries and those of this one, if the condition does nothing but equate the one with the other."""
-    pairs = [((a, b), (c, d)) if a != entry.alias else ((c, d), (a, b)) for a, b, c, d in EQUALITY.findall(entry.on)]
-    if not EQUALITIES.fullmatch(entry.on) or any(other[0] == entry.alias or own[0] != entry.alias for other, own in pairs):
-        return None
-    return [_flat(*other) for other, _ in pairs], [_flat(*own) for _, own in pairs]
-
-
-def _looks_up(entry: Entry, other: Entry) -> bool:
-    """Whether an entry is a lookup by equalities with one other entry alone."""
-    return bool(entry.lookup_key and _sides(entry)) and {a for a, _ in references(entry.on)} == {entry.alias, other.alias}
-
-
 def touched_anchors(tables: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], entries: Sequence[Entry], key: Sequence[str]) -> DataFrame:
     """Distinct anchor keys whose rows in the wide table may differ; `tables` hold the new state.
 
