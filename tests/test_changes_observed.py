@@ -10,6 +10,7 @@ from tideline.operators.pit import pit_join
 from tideline.operators.scd import scd2_rebuild
 from tideline.plans.facts import ChangedLink, VersionLink, orders_fact, orders_fact_increment
 from tideline.functions.calendar import calendar
+from tideline.plans.queries import QUERIES
 from tideline.sources.dimension import DimensionTable
 from tideline.sources.store import StoredTable
 
@@ -129,3 +130,35 @@ def test_dimension_batches_are_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="attributes"):
         dim.snapshot(spark.createDataFrame([(1, day(3))], "k int, at timestamp_ntz"), "at")
     assert dim.read().count() == 1
+
+
+def small_tables(spark, folder):
+    """Orders around the cut of the loads, with lines that were shipped before and after it."""
+    at = [datetime(1999, 6, 1), datetime(1999, 12, 20), datetime(2000, 2, 1), datetime(2000, 9, 1)]
+    orders = [(k, k % 3, "O", 10.0 * k, at[k % 4], "1-URGENT") for k in range(24)]
+    lines = [
+        (k, (k + n) % 5, n % 2, n, 2.0 * n, 7.5 * n, 0.0, 0.1, "RN"[(k + n) % 2], "OF"[n % 2], at[k % 4] + timedelta(days=9 * n))
+        for k in range(24)
+        for n in (1, 1, 2, 3)
+    ]
+    kinds = "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    tables = {
+        "customer": ([(k, f"c{k}", k, 1.0, "BUILDING") for k in range(2)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": (lines, f"l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, {kinds}, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_the_incremental_fact_merges_starts_of_versions_in_place_of_ids(spark, tmp_path, monkeypatch):
+    """No text is moved or stored by the merges, and the reader's ids are those of the whole fact."""
+    batches, folder = [], small_tables(spark, tmp_path)
+    for name in ("overwrite", "upsert"):
+        write = getattr(StoredTable, name)
+        monkeypatch.setattr(StoredTable, name, lambda self, df, *rest, write=write, **more: batches.append(df.dtypes) or write(self, df, *rest, **more))
+    found, whole = (QUERIES[name](spark, folder) for name in ("fact_orders_incremental", "fact_orders"))
+    assert len(batches) == 3 and all(kind != "string" for batch in batches for _, kind in batch)
+    assert found.dtypes == whole.dtypes and found.count() == whole.count() == 72
+    assert found.exceptAll(whole).count() == 0
